@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hortulus.llm import bpe, mixing, records, splitting
+from hortulus.llm import bpe, encoding, linking, lookalike, mixing, ocr, records, splitting
+from hortulus.llm.words import Tables
 from hortulus.runtime import table
 
 NAME = ("canonical_name", "genus", "epithet", "infraspecific_epithet", "taxon_rank")
@@ -34,6 +35,47 @@ def p1_voted(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("group_ord", "copies", name[0].alias("canonical_name"), name[1].alias("source"), "authorship")
 
 
+def _texts(spark: SparkSession, folder: str, *names: str) -> Tables:
+    columns = {"document_lines": ("line_id", "raw_line"), "seedlist_files": ("file_id", "content"), "list_entries": ("entry_id", "extracted_name")}
+    return {name: (table(spark, folder, name), *columns[name], "garden_code") for name in names}
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.find_garbled(_texts(spark, folder, "document_lines", "seedlist_files"))
+
+
+def p2_restored(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.restore_garbled(_texts(spark, folder, "document_lines", "seedlist_files"))
+
+
+def _noise(spark: SparkSession, folder: str) -> tuple:
+    names = ("document_lines", "seedlist_files", "list_entries")
+    listed = table(spark, folder, "reference_names").select(F.col("canonical_name").alias("name"), F.lit(True).alias("trusted"))
+    looked_up = table(spark, folder, "name_lookup").select(F.col("canonical_name").alias("name"), F.lit(False).alias("trusted"))
+    return (_texts(spark, folder, *names), *names, listed.unionByName(looked_up))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return ocr.find_noise(*_noise(spark, folder))
+
+
+def p3_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return ocr.repair_pages(*_noise(spark, folder))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.find_lookalikes(_texts(spark, folder, "document_lines", "list_entries"))
+
+
+def p5_unified(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.unify_lookalikes(_texts(spark, folder, "document_lines", "list_entries"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    open_entries = table(spark, folder, "list_entries").where("match_name IS NULL")
+    return linking.link_rows(open_entries, "entry_id", "extracted_name", table(spark, folder, "reference_names"))
+
+
 def _record_key():
     return records.record_key(*NAME, ["authorship", "source"])
 
@@ -64,4 +106,4 @@ def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name."""
-    return {f.__name__: f for f in (p1_found, p1_voted, p4_found, p4_collapsed, p7_ids, p8_mix, p8_shares, p9_pieces)}
+    return {f.__name__: f for f in (p1_found, p1_voted, p2_found, p2_restored, p3_found, p3_pages, p4_found, p4_collapsed, p5_found, p5_unified, p6_found, p7_ids, p8_mix, p8_shares, p9_pieces)}
