@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table `name` of a folder."""
+    workers_find_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -30,6 +31,18 @@ def local_session(cores: str = "8", **conf: str) -> SparkSession:
     return session
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Puts the folder of this package on the Python path of workers started from now on.
+
+    On a cluster the package is given with --py-files or installed; this serves where all see the same folders.
+    """
+    environment = spark.sparkContext.environment
+    folder = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if folder not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([folder, *paths])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written once to the shared checkpoint folder, so that a lost executor costs a read and not a recomputation.
 
