@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,51 +18,59 @@ STRENGTHS = "PLSCWXMu"
 SEGMENT = 4096
 
 
-def boundary_letters(text: str, offsets_ids: np.ndarray, vocabulary) -> tuple[str, np.ndarray]:
-    """(letters, ends): the boundary letter behind each token, and the number of characters up to its end."""
-    ids = offsets_ids
-    ends = np.cumsum(vocabulary.leads[ids])
-    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    n = len(cp)
-    table = np.zeros(0x110000 if n and cp.max() >= 0x3100 else 0x3100, np.uint8)
-    table[[9, 11, 12, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = 1
-    table[[10, 13]] = 3  # white space and line end
-    kind = table[cp]
-    space, newline = kind > 0, (cp == 10) | ((cp == 13) & (np.append(cp[1:], 0) != 10))
-    at = np.arange(n)
-    run = np.maximum.accumulate(np.where(~space, at + 1, 0))  # start of the white space that ends at this character
+# White space, line ends, and marks that end sentences and clauses.
+BLANKS = (9, 11, 12, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+SENTENCE_ENDS, CLAUSE_ENDS = ".!?…。", ",;:–—"
+SPACE, LINE, WORD, SENTENCE, CLAUSE = 1, 2, 4, 8, 16
+
+
+@functools.cache
+def character_kinds() -> np.ndarray:
+    """The kinds of each code point as bits."""
+    kinds = np.zeros(0x110000, np.uint8)
+    kinds[[c for c in range(0x110000) if chr(c).isalnum()]] = WORD
+    kinds[list(BLANKS)] = SPACE
+    kinds[[10, 13]] = SPACE | LINE
+    kinds[[ord(c) for c in SENTENCE_ENDS]] = SENTENCE
+    kinds[[ord(c) for c in CLAUSE_ENDS]] = CLAUSE
+    return kinds
+
+
+def boundary_letters(texts: list[str], offsets: np.ndarray, ids: np.ndarray, vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(letters, ends) of the tokens of all texts: the boundary letter behind each, and the number of characters of its text up to its end."""
+    joined = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    begins = np.cumsum([0, *[len(t) + 1 for t in texts]])[:-1]  # of each text
+    counts = np.diff(offsets)
+    base = np.repeat(begins, counts)
+    running = np.cumsum(vocabulary.leads[ids], dtype=np.int64)
+    done = np.concatenate([[0], running])[offsets[:-1]]
+    ends = running - np.repeat(done, counts)
+    kinds = character_kinds()[joined]
+    space = (kinds & SPACE) > 0
+    newline = (kinds & LINE) > 0
+    newline[:-1] &= ~((joined[:-1] == 13) & (joined[1:] == 10))
+    behind = base + ends  # the character after each token; the one before is at behind - 1
+    solid = np.maximum.accumulate(np.where(space, 0, np.arange(len(joined))))  # last character that is no space
     lines = np.cumsum(newline)
-    prev = np.clip(ends - 1, 0, n - 1)
-    nxt = np.clip(ends, 0, n - 1)
-    begin = run[prev]
-    breaks = np.where(space[prev], lines[prev] - np.where(begin > 0, lines[np.maximum(begin - 1, 0)], 0), 0)
-    solid = cp[np.clip(np.where(space[prev], begin - 1, prev), 0, n - 1)]
-    gap = space[prev] | space[nxt]
-    sentence, clause = np.isin(solid, [0x2E, 0x21, 0x3F, 0x2026, 0x3002]), np.isin(solid, [0x2C, 0x3B, 0x3A, 0x2013, 0x2014])
-    wordlike = np.fromiter((c.isalnum() for c in text), bool, n)
-    out = np.where(wordlike[prev] & wordlike[nxt], ord("M"), ord("X"))
-    out = np.where(gap, ord("W"), out)
-    out = np.where(gap & clause, ord("C"), out)
-    out = np.where(gap & sentence, ord("S"), out)
-    out = np.where(breaks == 1, ord("L"), out)
-    out = np.where(breaks > 1, ord("P"), out)
-    if len(ids):
-        out[:-1] = np.where(vocabulary.continues[ids[1:]], ord("u"), out[:-1])
-    return out.astype(np.uint8).tobytes().decode("ascii"), ends
+    before, after = space[behind - 1], space[behind]
+    last = np.maximum(solid[behind - 1], base)
+    breaks = np.where(before, lines[behind - 1] - lines[last], 0)
+    mark, gap = kinds[last], before | after
+    out = np.where((kinds[behind - 1] & WORD > 0) & (kinds[behind] & WORD > 0), ord("M"), ord("X")).astype(np.uint8)
+    out[gap] = ord("W")
+    out[gap & (mark & CLAUSE > 0)] = ord("C")
+    out[gap & (mark & SENTENCE > 0)] = ord("S")
+    out[breaks == 1] = ord("L")
+    out[breaks > 1] = ord("P")
+    out[:-1][vocabulary.continues[ids[1:]]] = ord("u")
+    return out, ends
 
 
 def _build(texts, offsets, ids, vocabulary):
-    letters, ends = [], []
-    for i, text in enumerate(texts):
-        own = ids[offsets[i] : offsets[i + 1]]
-        if len(own):
-            word, end = boundary_letters(text, own, vocabulary)
-            letters.append(word)
-            ends.append(end)
-        else:
-            letters.append("")
-    flat = np.concatenate(ends) if ends else np.zeros(0, np.int64)
-    return [pa.array(letters, pa.string()), list_array(offsets, flat)]
+    filled = [t or "" for t in texts]
+    letters, ends = boundary_letters(filled, offsets, ids, vocabulary) if len(ids) else (np.zeros(0, np.uint8), np.zeros(0, np.int64))
+    strings = pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(letters.tobytes()))
+    return [strings, list_array(offsets, ends)]
 
 
 def piece_pattern(limit: int, overlap: int) -> str:
