@@ -18,9 +18,9 @@ GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονκιρυχ"
 GREEK_AS_LATIN = "ABEZHIKMNOPTYXovkipux"
 # Characters that are invisible beside the ordinary ones.
 INVISIBLE = "\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff\u00ad\u180e\u034f"
-# What stands before a character of a multi-byte encoding read as a single-byte page; a space or soft hyphen there is its remnant.
 HIDDEN = "\ue000"
-GARBLE_LEADS = "ÃĂГÂÅ€Ђ\u0080\u0090"
+# What stands before a character of a multi-byte encoding read as a single-byte page; a space or soft hyphen there is its remnant.
+GARBLE_LEADS = "ÃĂГРÐÂÅ€Ђ\u0080\u0090"
 
 
 @functools.cache
@@ -47,45 +47,45 @@ def compositions() -> dict[str, str]:
     return {d: c for c, d in decompositions().items() if len(d) > 1 and unicodedata.normalize("NFC", d) == c}
 
 
-@functools.cache
-def affected() -> str:
-    """A character class: what may be a case. A letter that is composed already is none, nor a mark alone."""
-    marks = [c for c in map(chr, range(0x300, 0x370)) if unicodedata.combining(c)]
-    others = [c for c, d in decompositions().items() if len(d) < 2 or c >= "\ufb00"]
-    escaped = "".join(f"\\u{ord(c):04x}" for c in [*marks, *others, *CYRILLIC, *GREEK])
-    return f"[{escaped}]"
+# The ranges that hold every character that may be a case (marks, Greek and Cyrillic, odd spaces and invisible
+# characters, compatibility letters, wide and narrow forms); a few ranges match much faster than the characters one by one.
+AFFECTED = "[\\u00a0\\u00ad\\u0300-\\u052f\\u1680\\u180e\\u1f00-\\u200f\\u202f\\u205f-\\u2064\\u2126\\u212a\\u212b\\u3000\\uf900-\\ufaff\\ufb00-\\ufb06\\ufeff\\uff00-\\uffee]"
 
 
 def code_points(spark: SparkSession) -> DataFrame:
-    """(ch, parts): the decomposition table, the parts in order; a few thousand rows, fixed."""
-    rows = [(c, [(i, p) for i, p in enumerate(d)]) for c, d in decompositions().items()]
-    return spark.createDataFrame(rows, "ch string, parts array<struct<sub: int, part: string>>")
+    """(ch, parts): for each mark, letter and decomposable character its parts in order, each with its combining class, its kind and
+    the look-alikes of it. Kinds: m mark; l, c, g letters of one script, L, C, G the same but with a look-alike; - anything else. A
+    letter composed with a mark has no look-alike. Fixed, some ten thousand rows."""
+    from_c, from_g = dict(zip(CYRILLIC, CYRILLIC_AS_LATIN)), dict(zip(GREEK, GREEK_AS_LATIN))
+    to_c, to_g = {b: a for a, b in from_c.items()}, {b: a for a, b in from_g.items()}
 
+    def describe(c: str) -> tuple:
+        if unicodedata.combining(c):
+            return (c, unicodedata.combining(c), "m", None, None, None)
+        if not c.isalpha():
+            return (c, 0, "-", None, None, None)
+        kind = {"LATIN": "l", "CYRILLIC": "c", "GREEK": "g"}.get(unicodedata.name(c, "").split(" ")[0], "o")
+        latin = from_c.get(c) or from_g.get(c)
+        if not latin and c not in to_c and c not in to_g:
+            return (c, 0, kind, None, None, None)
+        return (c, 0, kind.upper(), latin, to_c.get(latin or c), to_g.get(latin or c))
 
-def properties(spark: SparkSession) -> DataFrame:
-    """(part, class, kind, latin, cyrillic, greek): combining class, kind (m mark; l, c, g letters of one script; L, C, G the same
-    but with a look-alike; else -), and the look-alikes of each. Fixed, a few thousand rows."""
-    latin_c, latin_g = dict(zip(CYRILLIC_AS_LATIN, CYRILLIC)), dict(zip(GREEK_AS_LATIN, GREEK))
-    from_c, from_g = dict(zip(CYRILLIC, CYRILLIC_AS_LATIN)), dict(zip(GREEK, GREEK_AS_LATIN))
     rows = []
-    for point in range(0x30000):
+    for point in [*range(0x2000), *map(ord, decompositions())]:
         c = chr(point)
-        if unicodedata.combining(c):
-            rows.append((c, unicodedata.combining(c), "m", None, None, None))
-        elif c.isalpha() and point < 0x2000:
-            script = unicodedata.name(c, "").split(" ")[0]
-            kind = {"LATIN": "l", "CYRILLIC": "c", "GREEK": "g"}.get(script, "o")
-            if c in from_c or c in from_g or c in latin_c or c in latin_g:
-                kind = kind.upper()
-            as_latin = from_c.get(c) or from_g.get(c)
-            rows.append((c, 0, kind, as_latin, latin_c.get(as_latin or c), latin_g.get(as_latin or c)))
-    return spark.createDataFrame(rows, "part string, class int, kind string, latin string, cyrillic string, greek string")
+        parts = [describe(p) for p in decompositions().get(c, c)]
+        if len(parts) > 1 and c.isalpha() and point < 0x2000:
+            own = describe(c)
+            parts[0] = (parts[0][0], 0, own[2].lower(), None, None, None)
+        rows.append((c, [(i, *p) for i, p in enumerate(parts)]))
+    part = "sub: int, part: string, class: int, kind: string, latin: string, cyrillic: string, greek: string"
+    return spark.createDataFrame(list(dict(rows).items()), f"ch string, parts array<struct<{part}>>")
 
 
 def unify_words(words: DataFrame) -> DataFrame:
     """(word, unified) of (word): the words whose form changes.
 
-    Words are exploded to positioned code points, joined to the decomposition and property tables (broadcast: they are fixed),
+    Words are exploded to positioned code points, joined to the table of their parts and look-alikes (broadcast: it is fixed),
     marks are ordered by class behind their letter, letters recomposed, look-alikes of another script turned into the script
     that the unambiguous letters around them have, and the words are built again. A run of letters with unambiguous ones of two
     scripts is garbled text and stays, as does a mark without a composed letter, and a space that is a remnant of garbling.
@@ -96,10 +96,8 @@ def unify_words(words: DataFrame) -> DataFrame:
     hidden = F.regexp_replace("word", guarded, HIDDEN)
     remnant = F.regexp_extract("word", guarded, 0)
     points = words.select("word", remnant.alias("remnant"), F.posexplode(F.split(hidden, "")).alias("pos", "ch"))
-    parts = points.join(F.broadcast(code_points(spark)), "ch", "left").select(
-        "word", "remnant", "pos", F.inline(F.coalesce("parts", F.array(F.struct(F.lit(0).alias("sub"), F.col("ch").alias("part")))))
-    )
-    known = parts.where("part <> ''").join(F.broadcast(properties(spark)), "part", "left").withColumn("class", F.coalesce("class", F.lit(0))).withColumn("kind", F.coalesce("kind", F.lit("-")))
+    unknown = F.array(F.struct(F.lit(0).alias("sub"), F.col("ch").alias("part"), F.lit(0).alias("class"), F.lit("-").alias("kind"), *[F.lit(None).cast("string").alias(c) for c in ("latin", "cyrillic", "greek")]))
+    known = points.join(F.broadcast(code_points(spark)), "ch", "left").select("word", "remnant", "pos", F.inline(F.coalesce("parts", unknown))).where("part <> ''")
     order = Window.partitionBy("word").orderBy("pos", "sub")
     runs = known.withColumn("run", F.sum((F.col("kind") == "-").cast("int")).over(order)).withColumn("segment", F.sum((F.col("class") == 0).cast("int")).over(order))
     in_run = Window.partitionBy("word", "run")
@@ -108,12 +106,13 @@ def unify_words(words: DataFrame) -> DataFrame:
     upper = {k: count(k) for k in "LCG"}
     mixed = (F.signum(latin) + F.signum(cyrillic) + F.signum(greek)) > 1
     several = (F.signum(latin + upper["L"]) + F.signum(cyrillic + upper["C"]) + F.signum(greek + upper["G"])) > 1
-    # without an unambiguous letter the script with more letters counts, Latin first
+    # without an unambiguous letter the script with more letters counts, Latin first; one letter of another script makes no Latin ones its own
     script = (
         F.when(mixed | ~several, F.lit(None))
         .when(latin > 0, "l")
-        .when(cyrillic > 0, "c")
-        .when(greek > 0, "g")
+        .when((cyrillic > 0) & ((cyrillic > 1) | (upper["L"] == 0)), "c")
+        .when((greek > 0) & ((greek > 2) | (upper["L"] == 0)), "g")
+        .when(cyrillic + greek > 0, F.lit(None))
         .when((upper["L"] >= upper["C"]) & (upper["L"] >= upper["G"]), "l")
         .when(upper["C"] >= upper["G"], "c")
         .otherwise("g")
@@ -144,7 +143,7 @@ def unify_words(words: DataFrame) -> DataFrame:
 
 def affected_words(texts: DataFrame) -> DataFrame:
     """The distinct words with a character that may be a case."""
-    return texts.where(F.col("text").rlike(affected())).select(F.explode(matching_words("text", affected())).alias("word")).distinct()
+    return texts.where(F.col("text").rlike(AFFECTED)).select(F.explode(matching_words("text", AFFECTED)).alias("word")).distinct()
 
 
 def find_lookalikes(tables: Tables) -> DataFrame:
@@ -154,10 +153,10 @@ def find_lookalikes(tables: Tables) -> DataFrame:
     ignored; an empty table gives nothing.
     """
     texts = one_relation(tables)
-    return rows_with_words(texts, affected(), unify_words(cut_lineage(affected_words(texts))), ["word"])
+    return rows_with_words(texts, AFFECTED, unify_words(cut_lineage(affected_words(texts))), ["word"])
 
 
 def unify_lookalikes(tables: Tables) -> DataFrame:
     """(table_name, row_id, text): the affected rows in the one form."""
     texts = one_relation(tables)
-    return replace_words(texts, affected(), unify_words(cut_lineage(affected_words(texts))), ["word"], "unified")
+    return replace_words(texts, AFFECTED, unify_words(cut_lineage(affected_words(texts))), ["word"], "unified")

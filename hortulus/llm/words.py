@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 #: {name of the table: (table, ident, text, source)}
 Tables = dict[str, tuple[DataFrame, str, str, str]]
-BLANKS = " \\t\\r\\n"
+#: What separates words: blanks, line ends and the edges of markup.
+BLANKS = " \\t\\r\\n<>"
 
 
 def one_relation(tables: Tables) -> DataFrame:
