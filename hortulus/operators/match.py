@@ -33,31 +33,25 @@ def match_exact(lookups: DataFrame, lookup: str, dictionary: DataFrame, kind: st
     return found if kind == "epithet" else found.where(~((F.col("taxon_rank") == "genus") & starts_lower(F.col(lookup))))
 
 
-def windows(text: Column, most_words: int) -> Column:
-    """The windows of tokens (i, j from 0, j exclusive; key; capital) that can match a key of `most_words` words.
+def windows(texts: DataFrame, ids: list[str], text: str, most_words: int) -> DataFrame:
+    """The windows of tokens (ids; i, j from 0, j exclusive; key; capital) that can match a key of `most_words` words.
 
     The key of a window is that of its tokens that are not cleaned to nothing, so for each start it is enough to take the next
-    1..most_words of these, each up to the token before the one after: the longest window with that key.
+    1..most_words of these, each up to the token before the one after: the longest window with that key. Tokens are cleaned
+    once; each explode keeps the expressions before it from being evaluated again for every window.
     """
-    tokens = tokens_of(text)
-    cleaned = F.transform(tokens, name_key)
-    count = F.size(tokens)
-    solid = F.filter(F.transform(cleaned, lambda c, i: F.struct(i.alias("i"), c.alias("c"))), lambda s: s["c"] != "")
-
-    def of_start(i: Column) -> Column:
-        behind = F.slice(F.filter(solid, lambda s: s["i"] >= i), 1, most_words + 1)
-        return F.transform(
-            F.sequence(F.lit(1), F.least(F.size(behind), F.lit(most_words))),
-            lambda m: F.struct(
-                i.alias("i"),
-                F.when(m < F.size(behind), F.get(behind, m)["i"]).otherwise(count).alias("j"),
-                F.array_join(F.transform(F.slice(behind, F.lit(1), m), lambda s: s["c"]), " ").alias("key"),
-                (~starts_lower(F.get(tokens, i))).alias("capital"),
-            ),
-        )
-
-    starts = F.when(F.size(solid) > 0, F.sequence(F.lit(0), F.element_at(solid, -1)["i"]))
-    return F.coalesce(F.flatten(F.transform(starts, of_start)), F.array().cast("array<struct<i:int,j:int,key:string,capital:boolean>>"))
+    tokens = texts.select(*ids, tokens_of(F.col(text)).alias("__t"))
+    each = tokens.select(*ids, F.size("__t").alias("__n"), F.posexplode("__t").alias("i", "token"))
+    cleaned = each.withColumn("c", name_key(F.col("token")))
+    line = cleaned.groupBy(*ids, "__n").agg(F.sort_array(F.collect_list(F.struct("i", "c", (~starts_lower(F.col("token"))).alias("capital")))).alias("all"))
+    solid = line.select(*ids, "__n", "all", F.filter("all", lambda s: s["c"] != "").alias("solid")).where(F.size("solid") > 0)
+    starts = solid.select(*ids, "__n", "solid", F.explode("all").alias("s"))
+    ahead = starts.select(*ids, "__n", F.col("s.i").alias("i"), F.col("s.capital").alias("capital"), F.slice(F.filter("solid", lambda s: s["i"] >= F.col("s.i")), 1, most_words + 1).alias("behind"))
+    sizes = F.when(F.size("behind") > 0, F.sequence(F.lit(1), F.least(F.size("behind"), F.lit(most_words))))
+    made = ahead.select(*ids, "__n", "i", "capital", "behind", F.explode(sizes).alias("m"))
+    return made.select(
+        *ids, "i", F.coalesce(F.get("behind", F.col("m"))["i"], F.col("__n")).alias("j"), F.array_join(F.transform(F.slice("behind", F.lit(1), F.col("m")), lambda s: s["c"]), " ").alias("key"), "capital"
+    )
 
 
 def leftmost_longest(texts: DataFrame, ids: list[str], text: str, dictionary: DataFrame, most_words: int) -> DataFrame:
@@ -66,8 +60,7 @@ def leftmost_longest(texts: DataFrame, ids: list[str], text: str, dictionary: Da
     `dictionary` has (key, kind, genus_rank, match): all kinds of names in one, so that the windows are made and joined once.
     A match of genus rank needs a capital at the window's start, except for epithets.
     """
-    made = texts.select(*ids, F.inline(windows(F.col(text), most_words)))
-    hits = made.join(sized(dictionary), "key").where("kind = 'epithet' OR capital OR NOT genus_rank")
+    hits = windows(texts, ids, text, most_words).join(sized(dictionary), "key").where("kind = 'epithet' OR capital OR NOT genus_rank")
     return hits.groupBy(*ids, "kind").agg(F.min_by(F.struct("i", "j", "match"), F.struct("i", -F.col("j"))).alias("hit")).select(*ids, "kind", "hit.*")
 
 
@@ -198,6 +191,9 @@ def match_fuzzy(lookups: DataFrame, lookup: str, canonical: DataFrame, ord_of: D
     with the keys in lower case, rescored by indel ratio against the whole name in lower case. A nearest genus is no match."""
     found = nearest_names(lookups, lookup, canonical.select("key").join(ord_of, "key"))
     full = found.join(canonical, "key").where("taxon_rank <> 'genus'")
+    if cutoff:  # by their lengths alone some cannot reach the score
+        short, long = F.least(F.length("lookup"), F.length("canonical_name")), F.greatest(F.length("lookup"), F.length("canonical_name"))
+        full = full.where(2.0 * short / (short + long) >= cutoff)
     scored = full.withColumn("score", indel_ratio(F.col("lookup"), F.lower("canonical_name")))
     return scored.where(F.col("score") >= (cutoff or 1e-9)).withColumn("score", python_round(F.col("score")))
 
