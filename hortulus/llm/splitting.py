@@ -101,7 +101,7 @@ def split_texts(df: DataFrame, limits: DataFrame, ident: str = "doc_id", text: s
     if len(settings) > 1000:
         raise ValueError("more than 1000 size limits")
     for row in settings:
-        if None in row or row["max_tokens"] < 8 or not 0 <= row["overlap_tokens"] <= row["max_tokens"] // 2:
+        if None in tuple(row) or row["max_tokens"] < 8 or not 0 <= row["overlap_tokens"] <= row["max_tokens"] // 2:
             raise ValueError(f"unusable size limit {row}")
     rows = df.where(F.col(text).isNotNull()).select(F.col(ident).alias("__id"), F.col(text).alias("__text"))
     fields = [T.StructField("__letters", T.StringType()), T.StructField("__ends", T.ArrayType(T.IntegerType()))]
