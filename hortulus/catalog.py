@@ -228,7 +228,7 @@ def fuzzy_longest_name(spark: SparkSession, folder: str) -> DataFrame:
 def _fuzzy(spark: SparkSession, folder: str, strategy: str) -> DataFrame:
     known = plan.dictionaries(source_names(spark, folder))
     found = cut_lineage(plan.recognise(lines_of(spark, folder), known))
-    fuzzy = plan.add_fuzzy(found, known, match.Fuzzy(threshold=0.9, strategy=strategy, near_blocks=True, line_block_limit=100))
+    fuzzy = plan.add_fuzzy(found, known, match.Fuzzy(threshold=0.9, strategy=strategy))
     return fuzzy.where("name.score < 1").select("doc", "line_nr", F.col("name.text").alias("option"), F.col("name.match.canonical_name").alias("canonical_name"), F.col("name.score").alias("score"), "rest")
 
 
