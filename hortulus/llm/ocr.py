@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,10 @@ MISREADINGS = {
 # Words that may follow a hyphen that stands at the end of a line by right ("Samen- und ...").
 AFTER_HANGING = ("und", "oder", "bzw", "et", "and", "or", "e", "ou")
 HYPHENS = "-¬=‐­"
+#: How a content begins that is XHTML.
+XHTML = "^\\s*<(html|\\?xml|!DOCTYPE)"
+#: A running header has so many characters at most.
+LONGEST_HEADER = 90
 #: Broadcast a dictionary of so many words at most (some 100 MB); a larger one is joined by shuffle.
 MOST_WORDS = 2_000_000
 
@@ -61,34 +66,56 @@ def break_pattern() -> str:
 
 
 def page_lines(tables: Tables, lines: str, files: str, file_of_line: str = "file_id", page: str = "page", line_nr: str = "line_nr") -> DataFrame:
-    """(table_name, row_id, file, page, line_nr, text): the rows of a table of lines, and the lines of a table of whole files,
-    plain or XHTML (a p per line). Page is null in the latter. Null texts are ''."""
-    df, ident, text, _ = tables[lines]
+    """(table_name, row_id, file, scope, paged, page, line_nr, text): the rows of a table of lines, and the lines of a table of whole
+    files, plain or XHTML (a p per line). Page is null in the latter; paged says whether the file shows its pages. Scope is the
+    source (garden), or the file if it has none. Null texts are ''."""
+    df, ident, text, source = tables[lines]
     of_lines = df.select(
         F.lit(lines).alias("table_name"),
         F.col(ident).cast("long").alias("row_id"),
         F.concat(F.lit("l"), F.coalesce(F.col(file_of_line).cast("string"), F.lit(""))).alias("file"),
+        _scope(F.col(source), "l", F.col(file_of_line)),
+        F.col(page).isNotNull().alias("paged"),
         F.col(page).cast("int").alias("page"),
         F.col(line_nr).cast("int").alias("line_nr"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    df, ident, text, _ = tables[files]
+    df, ident, text, source = tables[files]
     content = F.col(text).cast("string")
-    paragraphs = F.transform(
-        F.regexp_extract_all(content, F.lit("(?s)<p[^>]*>(.*?)</p>"), F.lit(1)),
-        lambda p: F.replace(F.replace(F.replace(p, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&")),
-    )
-    each = F.when(content.rlike("^\\s*<(html|\\?xml|!DOCTYPE)"), paragraphs).otherwise(F.split(content, "\r\n|\n|\r"))
+    each = F.when(content.rlike(XHTML), _paragraphs(content)).otherwise(F.split(content, "\r\n|\n|\r"))
     of_files = df.where(content.isNotNull()).select(
         F.lit(files).alias("table_name"),
         F.col(ident).cast("long").alias("row_id"),
         F.concat(F.lit("c"), F.col(ident).cast("string")).alias("file"),
+        _scope(F.col(source), "c", F.col(ident)),
+        (content.rlike(XHTML) & content.contains("<div")).alias("paged"),
         F.lit(None).cast("int").alias("page"),
         F.posexplode(each).alias("line_nr", "text"),
     )
     return of_lines.unionByName(of_files)
 
 
+def _scope(source: Column, kind: str, file: Column) -> Column:
+    own = F.concat(F.lit(f"\x01{kind}"), F.coalesce(file.cast("string"), F.lit("")))
+    return F.coalesce(F.nullif(source.cast("string"), F.lit("")), own).alias("scope")
+
+
+def _paragraphs(content: Column) -> Column:
+    return F.transform(
+        F.regexp_extract_all(content, F.lit("(?s)<p[^>]*>(.*?)</p>"), F.lit(1)),
+        lambda p: F.replace(F.replace(F.replace(p, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&")),
+    )
+
+
+def division_tops(tables: Tables, files: str) -> DataFrame:
+    """(scope, text): the first short line with a word of each page but the first of XHTML files, where a div is a page."""
+    df, ident, text, source = tables[files]
+    content = F.col(text).cast("string")
+    pages = F.slice(F.split(content, "<div\\b"), 3, MOST_WORDS)  # what stands before the first div, and the first page
+    each = df.where(content.rlike(XHTML)).select(_scope(F.col(source), "c", F.col(ident)), F.explode(pages).alias("p"))
+    return each.select("scope", F.get(F.filter(_paragraphs(F.col("p")), lambda t: (F.length(t) <= LONGEST_HEADER) & t.rlike("\\p{L}{3}")), F.lit(0)).alias("text")).where("text IS NOT NULL")
+
+
 # ---------------------------------------------------------------- glyphs
 
 
@@ -218,28 +245,41 @@ def first_word_key(text: Column) -> Column:
     return glyph_skeleton(F.regexp_extract(text, "^\\s*(?:[\\d\\W]+\\s+)?(\\S+)", 1))
 
 
-def running_headers(lines: DataFrame, share: float = 0.3, pages: float = 0.002) -> DataFrame:
-    """The running headers: lines whose key opens at least `pages` of all pages but the first of a file, with at least `share` of
-    the lines that have the key at such a place. The first line of a file is its title.
+#: (pages that a key opens, share of its lines that do): what makes it a running header of one garden, and of all.
+OF_SCOPE = ((2, 0.7), (3, 0.5))
+OF_ALL = ((3, 0.5), (30, 0.3))
+
+
+def running_headers(lines: DataFrame, divisions: DataFrame) -> DataFrame:
+    """The running headers: lines whose key opens pages but the first of files, in their garden (file, if it has none) or anywhere,
+    as often as OF_SCOPE or OF_ALL say: counts that don't grow with the input. The first line of a file is its title.
 
-    Keys are learned from the first lines of pages; all lines are then sieved by their first word. By definition there are 1 / pages
-    keys at most: they are literals of the plan.
+    Keys are learned from the first lines of pages, those of `divisions` (scope, text) included; all lines are then sieved by
+    their first word. What is learned is a table that is joined.
     """
-    short = lines.where((F.col("line_nr") > 0) & (F.length("text") <= 90))
-    tops = short.where("page > 1").where(F.col("text").rlike("\\p{L}{3}")).groupBy("file", "page").agg(F.min(F.struct("line_nr", "text")).alias("top"))
-    tops = tops.select(header_key(F.col("top.text")).alias("key"), first_word_key(F.col("top.text")).alias("first")).where("key <> ''")
-    counted = cut_lineage(tops.groupBy("key", "first").agg(F.count(F.lit(1)).alias("n")))
-    many = counted.agg(F.sum("n")).first()[0] or 0
-    by_key = counted.groupBy("key").agg(F.sum("n").alias("n"), F.collect_set("first").alias("firsts")).where((F.col("n") >= 3) & (F.col("n") >= many * pages))
-    learned = {r["key"]: r for r in by_key.collect()}
-    if not learned:
-        return lines.where("false")
-    firsts = sorted({f for r in learned.values() for f in r["firsts"]})
-    hits = short.where(first_word_key(F.col("text")).isin(firsts)).withColumn("key", header_key(F.col("text"))).where(F.col("key").isin(sorted(learned)))
-    hits = cut_lineage(hits.select("table_name", "row_id", "file", "page", "line_nr", "text", "key"))
-    totals = {r["key"]: r["total"] for r in hits.where("page IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("total")).collect()}
-    keys = [k for k, r in learned.items() if r["n"] >= share * totals.get(k, 0)]
-    return hits.where(F.col("key").isin(keys)).drop("key")
+    short = lines.where((F.col("line_nr") > 0) & (F.length("text") <= LONGEST_HEADER))
+    tops = short.where("page > 1").where(F.col("text").rlike("\\p{L}{3}")).groupBy("scope", "file", "page").agg(F.min(F.struct("line_nr", "text")).alias("top"))
+    tops = tops.select("scope", F.col("top.text").alias("text")).unionByName(divisions)
+    tops = tops.select("scope", header_key(F.col("text")).alias("key"), first_word_key(F.col("text")).alias("first")).where("key <> ''")
+    counted = cut_lineage(tops.groupBy("scope", "key", "first").agg(F.count(F.lit(1)).alias("n")))
+    least = lambda rule: min(n for n, _ in rule)
+    of_scope = counted.groupBy("scope", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least(OF_SCOPE))
+    of_all = counted.groupBy("key").agg(F.sum("n").alias("n_all")).where(F.col("n_all") >= least(OF_ALL))
+    # "" stands for every scope
+    sieve = counted.join(of_scope.select("scope", "key"), ["scope", "key"], "left_semi").select("scope", "first")
+    sieve = sieve.unionByName(counted.join(of_all.select("key"), "key", "left_semi").select(F.lit("").alias("scope"), "first"))
+    sieve = cut_lineage(sieve.groupBy("first").agg(F.collect_set("scope").alias("scopes")))
+    hits = short.withColumn("first", first_word_key(F.col("text"))).join(_bounded(sieve), "first").where(F.array_contains("scopes", "") | F.array_contains("scopes", F.col("scope")))
+    hits = hits.withColumn("key", header_key(F.col("text"))).drop("first", "scopes")
+    hits = hits.join(_bounded(of_scope), ["scope", "key"], "left").join(_bounded(of_all), "key", "left").where("n IS NOT NULL OR n_all IS NOT NULL")
+    hits = cut_lineage(hits.select("table_name", "row_id", "file", "scope", "paged", "page", "line_nr", "text", "key", "n", "n_all"))
+    passes = lambda rule, n, total: reduce(Column.__or__, [(n >= a) & (n >= F.lit(b) * total) for a, b in rule])
+    by_scope = hits.groupBy("scope", "key").agg(F.max("n").alias("n"), F.max("n_all").alias("n_all"), F.sum(F.col("paged").cast("int")).alias("total"))
+    everywhere = by_scope.groupBy("key").agg(F.max("n_all").alias("n_all"), F.sum("total").alias("total"))
+    in_scope = by_scope.where(passes(OF_SCOPE, F.col("n"), F.col("total"))).select("scope", "key", F.lit(True).alias("here"))
+    in_all = everywhere.where(passes(OF_ALL, F.col("n_all"), F.col("total"))).select("key", F.lit(True).alias("anywhere"))
+    found = hits.join(_bounded(in_scope), ["scope", "key"], "left").join(_bounded(in_all), "key", "left").where("here OR anywhere")
+    return found.select("table_name", "row_id", "file", "page", "line_nr", "text")
 
 
 # ---------------------------------------------------------------- broken words
@@ -291,7 +331,7 @@ class Noise:
 
     def __init__(self, tables: Tables, lines: str, files: str, entries: str | None, dictionary: DataFrame, name: str = "name", trusted: str = "trusted", first_words: int = 8):
         self.lines = page_lines(tables, lines, files)
-        self.headers = cut_lineage(running_headers(self.lines))
+        self.headers = cut_lineage(running_headers(self.lines, division_tops(tables, files)))
         self.numbers = cut_lineage(page_numbers(self.lines))
         furniture = self.headers.select("file", "line_nr").unionByName(self.numbers.select("file", "line_nr"))
         self.breaks = broken_words(self.lines, furniture)

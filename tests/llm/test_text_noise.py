@@ -157,3 +157,16 @@ def test_noise_is_found(spark):
 def test_no_rows(spark):
     assert ocr.find_noise(*scans(spark, [])).count() == 0
     assert ocr.repair_pages(*scans(spark, [])).count() == 0
+
+
+def test_headers_of_a_small_garden(spark):
+    # 4,000 pages of another garden, so that three are less than 0.1 % of all; three files of G, a header on one page of each
+    tables, *names = scans(spark, [])
+    rows = [(p, 9, "B", p, p * 10, f"{p} Delectus seminum") for p in range(2, 4002)]
+    rows += [(5000 + 10 * f + i, 100 + f, "G", p, i, t) for f in range(3) for i, (p, t) in enumerate([(1, "Index"), (1, "Rosa alba"), (2, f"Hort. Braskmond {f}"), (2, "Viola palustris")])]
+    contents = "<html><body><div><p>Index</p><p>Rosa alba</p></div><div><p>Solö Garden 2</p><p>Viola palustris</p></div><div><p>3</p><p>Solö Garden</p><p>Rosa alba</p></div></body></html>"
+    tables["document_lines"] = (spark.createDataFrame(rows, LINE), *tables["document_lines"][1:])
+    tables["seedlist_files"] = (spark.createDataFrame([(1, contents, "H")], "file_id long, content string, garden_code string"), *tables["seedlist_files"][1:])
+    found = {(r.table_name, r.row_id) for r in ocr.find_noise(tables, *names).where("kind = 'header'").collect()}
+    assert {r for t, r in found if r >= 5000} == {5002, 5012, 5022} and ("seedlist_files", 1) in found
+    assert len(found) == 4004
