@@ -154,11 +154,10 @@ def is_misreading(printed: str, read: str) -> bool:
     return False
 
 
-def name_words(text: str, most: int | None = None) -> Column:
-    """The words of a text, the first `most` of them if given, that may be part of a name: letters, and digits for letters, in
-    lower case. (A regex alone: functions over arrays would take the plan out of generated code.)"""
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9|!]{4,40}"), F.lit(0))
-    return words if most is None else F.slice(words, 1, most)
+def name_words(text: str) -> Column:
+    """The words of a text that may be part of a name: letters, and digits for letters, in lower case. (A regex alone: functions
+    over arrays would take the plan out of generated code.)"""
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9|!]{4,40}"), F.lit(0))
 
 
 def vocabulary(dictionary: DataFrame, name: str, trusted: str, least: int = 2) -> DataFrame:
@@ -329,7 +328,7 @@ def broken_names(names: DataFrame, words: DataFrame) -> DataFrame:
 class Noise:
     """What was found in a set of tables; each part is a DataFrame."""
 
-    def __init__(self, tables: Tables, lines: str, files: str, entries: str | None, dictionary: DataFrame, name: str = "name", trusted: str = "trusted", first_words: int = 8):
+    def __init__(self, tables: Tables, lines: str, files: str, entries: str | None, dictionary: DataFrame, name: str = "name", trusted: str = "trusted"):
         self.lines = page_lines(tables, lines, files)
         self.headers = cut_lineage(running_headers(self.lines, division_tops(tables, files)))
         self.numbers = cut_lineage(page_numbers(self.lines))
@@ -337,7 +336,7 @@ class Noise:
         self.breaks = broken_words(self.lines, furniture)
         words = cut_lineage(vocabulary(dictionary, name, trusted))
         inside = self.lines.join(F.broadcast(self.headers.select("file", "line_nr").distinct()) if self.headers.count() < MOST_WORDS else self.headers.select("file", "line_nr").distinct(), ["file", "line_nr"], "left_anti")
-        rows = inside.select("table_name", "row_id", name_words("text", first_words).alias("words"))
+        rows = inside.select("table_name", "row_id", name_words("text").alias("words"))
         self.name_breaks = None
         names = rows
         if entries is not None:
@@ -352,8 +351,8 @@ def find_noise(*args, **options) -> DataFrame:
     """(table_name, row_id, kind): each row with each kind of noise in it: header, page_number, hyphen, misread.
 
     Takes what Noise takes: a table of lines, one of whole files, optionally one of names, and a dictionary (name, is it trusted)
-    that gives the vocabulary of names. Names are looked for in the first words of a line, where an entry has its own. Null and
-    empty texts have no noise; a line delivered twice counts for each row; empty tables give nothing; other columns are ignored.
+    that gives the vocabulary of names. Names are looked for in the whole of each line. Null and empty texts have no noise; a line
+    delivered twice counts for each row; empty tables give nothing; other columns are ignored.
     """
     noise = Noise(*args, **options)
     parts = [(noise.headers, "header"), (noise.numbers, "page_number"), (noise.breaks, "hyphen"), (noise.misread, "misread")]

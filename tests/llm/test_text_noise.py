@@ -170,3 +170,11 @@ def test_headers_of_a_small_garden(spark):
     found = {(r.table_name, r.row_id) for r in ocr.find_noise(tables, *names).where("kind = 'header'").collect()}
     assert {r for t, r in found if r >= 5000} == {5002, 5012, 5022} and ("seedlist_files", 1) in found
     assert len(found) == 4004
+
+
+def test_misread_words_far_behind_in_a_line(spark):
+    far = "which came from the northern slope with others, inter quos Viola palustr1s"
+    args = scans(spark, [(1, 0, "Index"), (1, 1, far)], [f"Index and {far}"])
+    found = {(r.table_name, r.row_id) for r in ocr.find_noise(*args).where("kind = 'misread'").collect()}
+    assert found == {("document_lines", 1), ("seedlist_files", 0)}
+    assert [r.text for r in ocr.repair_pages(*args).where("page = 1").collect()] == ["Index " + far.replace("1", "i")]
