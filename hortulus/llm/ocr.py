@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hortulus.llm.encoding import MULTIBYTE_PAGES, decode_bytes
@@ -223,14 +223,26 @@ FULL = "^\\s*\\d{3}\\s*$"
 
 def page_numbers(lines: DataFrame, reach: int = 2) -> DataFrame:
     """The lines that give the page: numerals set off by brackets, dashes or a word for page, small roman ones, and bare ones of
-    one or two digits (three where other numbers of the file are as far from their page) within `reach` lines of a page's edge."""
+    one or two digits within `reach` lines of a page's edge. There bare ones of three digits count if a number of another page of the
+    file is as far from its page; in files without pages, if the number line before or behind gives the number before or behind."""
     # short ones first: the patterns are tried on few lines
     looks = lines.where((F.length(F.trim("text")) <= 16) & (F.col("text").rlike(DECORATED) | F.col("text").rlike(ROMAN) | F.col("text").rlike(BARE) | F.col("text").rlike(FULL)))
     edges = lines.where("page IS NOT NULL").groupBy("file", "page").agg(F.min("line_nr").alias("top"), F.max("line_nr").alias("bottom"))
     looks = looks.join(edges, ["file", "page"], "left")
     sure = F.col("text").rlike(DECORATED) | F.col("text").rlike(ROMAN)
     at_edge = F.col("page").isNull() | (F.col("line_nr") - F.col("top") <= reach) | (F.col("bottom") - F.col("line_nr") <= reach)
-    return looks.where(sure | (F.col("text").rlike(BARE) & at_edge)).select("table_name", "row_id", "file", "page", "line_nr", "text")
+    looks = looks.where(sure | at_edge).withColumn("full", F.col("text").rlike(FULL)).withColumn("number", F.regexp_extract("text", "\\d{1,3}", 0).try_cast("int"))
+    looks = cut_lineage(looks.select("table_name", "row_id", "file", "page", "line_nr", "text", "full", "number"))
+    columns = ("table_name", "row_id", "file", "page", "line_nr", "text")
+    apart = looks.where("page IS NOT NULL AND number IS NOT NULL").select("file", (F.col("number") - F.col("page")).alias("apart"), "page")
+    shared = apart.groupBy("file", "apart").agg(F.min("page").alias("first"), F.max("page").alias("last")).where("first < last").select("file", "apart")
+    full = looks.where("full").withColumn("apart", F.col("number") - F.col("page")).join(shared, ["file", "apart"], "left_semi")
+    # only files with such a line
+    loose = looks.where("page IS NULL AND number IS NOT NULL").join(looks.where("full AND page IS NULL").select("file").distinct(), "file", "left_semi")
+    by_line = Window.partitionBy("file").orderBy("line_nr")
+    loose = loose.withColumns({"before": F.lag("number").over(by_line), "behind": F.lead("number").over(by_line)})
+    runs_on = loose.where("full AND (before = number - 1 OR behind = number + 1)")
+    return looks.where("NOT full").select(*columns).unionByName(full.select(*columns)).unionByName(runs_on.select(*columns))
 
 
 def header_key(text: Column) -> Column:

@@ -178,3 +178,14 @@ def test_misread_words_far_behind_in_a_line(spark):
     found = {(r.table_name, r.row_id) for r in ocr.find_noise(*args).where("kind = 'misread'").collect()}
     assert found == {("document_lines", 1), ("seedlist_files", 0)}
     assert [r.text for r in ocr.repair_pages(*args).where("page = 1").collect()] == ["Index " + far.replace("1", "i")]
+
+
+def test_page_numbers_of_three_digits(spark):
+    # an offset of 97: 99, 100, 101; 426 stands alone, and 750 in a file that gives no other number
+    rows = [(p, 10 * p + i, t) for p in (2, 3, 4) for i, t in enumerate([str(97 + p), ("Rosa", "Viola", "Salix")[p - 2], "a", "b", "c", "d", "e"])] + [(5, 50, "426")]
+    content = ["Rosa\n99\nalba\n100\nrubra\n101", "Rosa\n750\nalba"]
+    found = {(r.table_name, r.row_id) for r in ocr.find_noise(*scans(spark, rows, content)).where("kind = 'page_number'").collect()}
+    assert found == {("document_lines", 0), ("document_lines", 7), ("document_lines", 14), ("seedlist_files", 0)}
+    pages = {(r.file, r.page): r.text for r in ocr.repair_pages(*scans(spark, rows, content)).collect()}
+    assert pages["l1", 4] == "Salix a b c d e" and pages["l1", 5] == "426"
+    assert pages["c0", None] == "Rosa alba rubra" and pages["c1", None] == "Rosa 750 alba"
