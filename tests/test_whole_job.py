@@ -25,3 +25,11 @@ def test_fuzzy_tries_lines_far_from_named_ones(spark, tmp_path, name):
     texts = ["Adiantum concinnum"] + ["."] * 150 + ["Silene palustriss"] + ["."] * 20
     got = catalog.queries()[name](spark, folder(spark, tmp_path, texts)).collect()
     assert [(r.line_nr, r.canonical_name) for r in got] == [(151, "Silene palustris")]
+
+
+def test_json_files_are_extracted(spark, tmp_path):
+    contents = ["Index\nAdiantum concinnum", "<html><body><div><p>Index</p><p>Silene palustris</p></div></body></html>"]
+    where = folder(spark, tmp_path, ["Adiantum concinnum"], contents)
+    got = {(r.filename, r.match_name) for r in catalog.queries()["extract_rows"](spark, where).collect()}
+    assert got == {("TEBLI-2020-x.txt", "Adiantum concinnum"), ("TEBLI-2020-0.json", "Adiantum concinnum"), ("TEBLI-2020-1.json", "Silene palustris")}
+    assert {r.doc for r in catalog.queries()["genera_scores"](spark, where).collect()} == {1, 2, 3}
