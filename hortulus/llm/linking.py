@@ -68,13 +68,13 @@ def reference_index(reference: DataFrame) -> tuple[DataFrame, DataFrame]:
     return entries, postings
 
 
-def link_values(values: DataFrame, value: str, reference: DataFrame, least_cosine: float = 0.3, keep: int = 8, tolerance: float = 0.25, max_list: int = 2_000_000) -> DataFrame:
+def link_values(values: DataFrame, value: str, reference: DataFrame, least_cosine: float = 0.3, tolerance: float = 0.25, max_list: int = 2_000_000) -> DataFrame:
     """(value, ref_id) for each distinct non-empty value: the entry it means, or -1.
 
     Values are deduplicated and normalised; candidates come from an inverted index of character trigrams weighted by inverse
-    frequency, scored by cosine; of those above `least_cosine` the `keep` best (and all that tie with the last) are compared
-    word by word in any order. An entry is accepted if each of its words has a word of the value within `tolerance` edits a
-    letter (two at least), the ranks agree, no differing word of the value is itself a word of the list, and it is nearer than
+    frequency, scored by cosine, with the norm of the entry for that of a longer value, so that further words don't count
+    against it; all from `least_cosine` on that have the value's rank are compared word by word in any order. An entry is
+    accepted if each of its words has a word of the value within `tolerance` edits a letter (two at least), the ranks agree, no differing word of the value is itself a word of the list, and it is nearer than
     every other (margin). A genus written as one letter stands for each genus of that initial. Null and '' have no row; a value
     without words, and every value against an empty list, gives -1. Repeated list entries (same words) are one, the smallest id.
     The list is broadcast; one of more than `max_list` rows is refused.
@@ -89,20 +89,17 @@ def link_values(values: DataFrame, value: str, reference: DataFrame, least_cosin
     texts = distinct.select("value", plain_value(F.col("value")).alias("text"))
     forms = cut_lineage(texts.select("value", "text"))
     by_text = forms.select("text").distinct().select("text", words.alias("words"), rank.alias("rank")).where(F.size("words") > 1)
-    probes = by_text.repartition("text").select("text", F.explode(grams(F.slice("words", 1, 6))).alias("gram"))
+    probes = by_text.repartition("text").select("text", F.explode(grams(F.col("words"))).alias("gram"))
     scored = (
         probes.join(F.broadcast(postings), "gram")
         .select("text", "idf", F.inline("refs"))
         .groupBy("text", "ref_id")
-        .agg(F.sum(F.col("idf") * F.col("w")).alias("dot"))
+        .agg(F.sum(F.col("idf") * F.col("w")).alias("dot"), F.max(F.col("idf") / F.col("w")).alias("ref_norm"))
     )
     norms = probes.join(F.broadcast(postings.select("gram", "idf")), "gram").groupBy("text").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
-    cosines = scored.join(norms, "text").select("text", "ref_id", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine")).where(F.col("cosine") >= least_cosine)
-    ranked = cosines.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("cosine", "ref_id")), asc=False).alias("c"))
-    last = F.element_at("c", F.least(F.size("c"), F.lit(keep)))["cosine"]
-    candidates = ranked.select("text", F.explode(F.filter("c", lambda c: c["cosine"] >= last)).alias("c")).select("text", "c.ref_id")
+    cosines = scored.join(norms, "text").select("text", "ref_id", F.round(F.col("dot") / F.least("norm", "ref_norm"), 6).alias("cosine")).where(F.col("cosine") >= least_cosine)
     known = entries.select(F.explode("ref_words").alias("w")).agg(F.collect_set("w").alias("known"))  # bounded as the list is
-    pairs = candidates.join(by_text, "text").join(F.broadcast(entries), "ref_id").where("rank = ref_rank")
+    pairs = cosines.select("text", "ref_id").join(by_text, "text").join(F.broadcast(entries), "ref_id").where("rank = ref_rank")
     near = lambda ref: F.array_min(F.transform("words", lambda t: _edits(t, ref)))
     first = F.element_at("ref_words", 1)
     initial = F.exists("words", lambda t: (F.length(t) == 1) & (t == F.substring(first, 1, 1)))
@@ -124,8 +121,10 @@ def link_values(values: DataFrame, value: str, reference: DataFrame, least_cosin
         F.arrays_zip(F.col("distances").alias("d"), F.col("ref_words").alias("w")),
         lambda z: (z["d"] > 0) & F.exists("words", lambda t: (_edits(t, z["w"]) == z["d"]) & F.array_contains("known", t)),
     )
-    best = checked.where(~other).groupBy("text").agg(F.sort_array(F.collect_list(F.struct("total", "ref_id"))).alias("c"))
-    accepted = best.where((F.size("c") == 1) | (F.get("c", F.lit(0))["total"] < F.get("c", F.lit(1))["total"])).select("text", F.get("c", F.lit(0))["ref_id"].alias("ref_id"))
+    # the nearest, if no other is as near: by partial aggregates, whatever the number of candidates
+    best = checked.where(~other).groupBy("text", "total").agg(F.min("ref_id").alias("ref_id"), F.count(F.lit(1)).alias("n"))
+    best = best.groupBy("text").agg(F.min(F.struct("total", "n", "ref_id")).alias("c"))
+    accepted = best.where("c.n = 1").select("text", "c.ref_id")
     return forms.join(accepted, "text", "left").select("value", F.coalesce("ref_id", F.lit(-1).cast("long")).alias("ref_id"))
 
 

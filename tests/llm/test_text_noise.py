@@ -106,6 +106,13 @@ def test_link_edge_cases(spark):
         linking.link_rows(rows, "entry_id", "v", reference, max_list=3)
 
 
+def test_link_behind_many_words(spark):
+    reference = spark.createDataFrame(REFERENCE, "ref_id long, canonical_name string")
+    value = "lecta prope oppidum vetus in ripa fluminis Rosa rubra"
+    rows = spark.createDataFrame([(1, value)], "entry_id long, v string")
+    assert [tuple(r) for r in linking.link_rows(rows, "entry_id", "v", reference).collect()] == [(1, 2)]
+
+
 # ---------------------------------------------------------------- scans
 
 
