@@ -39,12 +39,16 @@ def mix_sources(documents: DataFrame, weights: DataFrame, total_tokens: int | No
 
     mixture: source, epoch (from 1), doc_id, order_key, n_tokens, take_tokens; a manifest that is joined to the texts by doc_id.
     shares: source, target_share, max_repeats, n_texts, available_tokens, budget_tokens, taken_tokens, actual_share, passes.
-    Documents without a source, with one that has no weight, or without tokens are in no mixture. A source without texts has
-    taken 0. Weights with null source, share or repeats are ignored. Repeated weights of a source count once (the largest).
+    Documents without a source, with one that has no weight, or without tokens are in no mixture, and do not count as the first
+    copy of a text. A source without texts has taken 0. Weights with null source, share or repeats are ignored. Repeated weights
+    of a source count once (the largest).
     """
-    texts = cut_lineage(distinct_texts(documents, vocabulary=vocabulary, **columns))  # tokenised once, used three times
     wanted = weights.where("source IS NOT NULL AND target_share > 0 AND max_repeats > 0").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    bucketed = texts.join(F.broadcast(wanted.select("source")), "source").withColumn("bucket", F.shiftrightunsigned("order_key", 64 - BUCKET_BITS))
+    source = columns.get("source", "source")
+    # copies without a wanted source take no text from one that has it
+    usable = documents.join(F.broadcast(wanted.select(F.col("source").alias("__wanted"))), F.col(source) == F.col("__wanted"), "left_semi")
+    texts = cut_lineage(distinct_texts(usable, vocabulary=vocabulary, **columns))  # tokenised once, used three times
+    bucketed = texts.withColumn("bucket", F.shiftrightunsigned("order_key", 64 - BUCKET_BITS))
     sums = bucketed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("texts"))
     by_source = sums.groupBy("source").agg(F.sum("tokens").alias("available_tokens"), F.sum("texts").alias("n_texts"))
     supply = wanted.join(F.broadcast(by_source), "source", "left").na.fill(0, ["available_tokens", "n_texts"])

@@ -137,3 +137,9 @@ def test_order_is_repeatable(spark):
     runs = [sorted(map(tuple, mixing.mix_sources(documents(spark).repartition(k), weights(spark))[0].collect())) for k in (1, 7)]
     assert runs[0] == runs[1]
     assert np.isfinite(len(runs[0]))
+
+
+def test_copies_without_a_wanted_source_take_no_text(spark):
+    docs = spark.createDataFrame([(1, None, "same text"), (2, "unweighted", "same text"), (3, "a", "same text")], "doc_id long, source string, text string")
+    shares = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
+    assert [(r.source, r.doc_id) for r in mixing.mix_sources(docs, shares)[0].collect()] == [("a", 3)]
