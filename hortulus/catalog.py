@@ -92,12 +92,12 @@ def names_union(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def canonical_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return names.canonical_dictionary(source_names(spark, folder)).drop("authorships")
+    return names.canonical_dictionary(source_names(spark, folder)).drop("authorships", "prio", "ord")
 
 
 @query
 def genus_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return names.genus_dictionary(source_names(spark, folder)).drop("authorships")
+    return names.genus_dictionary(source_names(spark, folder)).drop("authorships", "prio", "ord")
 
 
 @query

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hortulus.functions.similarity import indel_ratio
 from hortulus.functions.text import fully_clean, name_key, position_of, tokens_of, trim_outer
+from hortulus.runtime import cut_lineage
 
 #: A dictionary of so many keys at most is broadcast; a larger one is joined by shuffle.
 MOST_BROADCAST = 2_000_000
@@ -145,57 +147,132 @@ def fuzzy_candidates(lines: DataFrame, ids: list[str], raw: str, settings: Fuzzy
     return out.select(*ids, "option", "num_tokens", "i", "j", position_of(F.lower("option"), F.lower("__raw")).alias("index"))
 
 
-def _segments(text: Column, parts: int) -> list[tuple[Column, Column]]:
-    """(start from 1, length) of `parts` pieces of nearly equal length."""
-    size = F.length(text)
-    edges = [F.floor(size * k / parts).cast("int") for k in range(parts + 1)]
-    return [(edges[k] + 1, edges[k + 1] - edges[k]) for k in range(parts)]
+#: The longest piece of a name that is indexed.
+LONGEST_PIECE = 6
+#: A block of so many keys is compared with a lookup at once where no piece tells them apart.
+BLOCK = 4096
 
 
-def nearest_names(lookups: DataFrame, lookup: str, keys: DataFrame, close: int = 2) -> DataFrame:
+def _lead(text: str) -> Column:
+    """1 if a text begins with a capital: no key has one, so it takes an edit by itself."""
+    first = F.substring(text, 1, 1)
+    return (F.lower(first) != first).cast("int")
+
+
+def within(asked: DataFrame, keys: DataFrame, text: str, capital: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rest): the rows of `keys` that may be within `budget` edits of each row of `asked` (lookup, budget), and the rows of `asked`
+    that are too short for their budget.
+
+    `budget` edits spoil as many of budget + 1 pieces of a lookup at most, so one of them stands unchanged in the text, no more than
+    `budget` places away: an equi-join on pieces finds every such pair. An initial capital takes `capital` edits by itself (keys are in
+    lower case) and leaves fewer for the rest.
+    """
+    lead = _lead("lookup")
+    left = F.col("budget") - lead * F.lit(capital)
+    piece = F.least(F.floor((F.length("lookup") - lead) / (left + 1)), F.lit(LONGEST_PIECE)).cast("int")
+    step = F.floor((F.length("lookup") - lead) / (left + 1)).cast("int")
+    cut = asked.withColumns({"__left": left, "__size": piece, "__step": step, "__lead": lead})
+    fits = cut.where("__left >= 0 AND __size > 0")
+    rest = cut.where("__left >= 0 AND __size <= 0").select(*asked.columns)
+    probes = fits.withColumn("__k", F.explode(F.sequence(F.lit(0), F.col("__left")))).withColumn("__at", F.col("__lead") + F.col("__k") * F.col("__step") + 1)
+    probes = probes.select(*asked.columns, "__at", F.expr("substring(lookup, __at, __size)").alias("__piece"))
+    used = keys.withColumn("__size", F.explode(F.sequence(F.lit(1), F.lit(LONGEST_PIECE)))).where(F.length(text) >= F.col("__size"))
+    places = used.withColumn("__place", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("__size") + 1))).withColumn("__piece", F.expr(f"substring({text}, __place, __size)"))
+    sizes = fits.select("__size").distinct()  # LONGEST_PIECE rows at most
+    index = places.join(F.broadcast(sizes), "__size", "left_semi").select(*keys.columns, "__place", "__piece")
+    met = probes.join(index, "__piece").where((F.abs(F.col("__at") - F.col("__place")) <= F.col("budget")) & (F.abs(F.length("lookup") - F.length(text)) <= F.col("budget")))
+    return met.select(*asked.columns, *keys.columns).distinct(), rest
+
+
+def _all_keys(asked: DataFrame, keys: DataFrame) -> DataFrame:
+    """(lookup, b): the nearest key of each lookup, by comparing with all: keys are cut into blocks of a bounded size that lookups meet one by
+    one, and only the nearest of a block is put out."""
+    blocks = max(1, -(-keys.count() // BLOCK))
+    packed = keys.withColumn("__block", F.pmod(F.xxhash64("key"), F.lit(blocks))).groupBy("__block").agg(F.collect_list(F.struct("key", "ord")).alias("__keys"))
+    each = asked.select("lookup", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__block")).join(packed, "__block")
+    nearest = F.array_min(F.transform("__keys", lambda k: F.struct(F.levenshtein(F.col("lookup"), k["key"]).alias("distance"), k["ord"].alias("ord"), k["key"].alias("key"))))
+    return each.select("lookup", nearest.alias("b")).groupBy("lookup").agg(F.min("b").alias("b"))
+
+
+def nearest_names(lookups: DataFrame, lookup: str, keys: DataFrame, bands: tuple[int, ...] = (3, 5)) -> DataFrame:
     """(lookup, key, distance): for each distinct lookup the nearest key by edit distance, of equal ones that of the smallest `ord`.
 
-    Exact in two bands. Within `close` edits of a key, one of close + 1 pieces of the key stands unchanged in the lookup at most
-    `close` places away: an equi-join on pieces finds every such pair. Lookups without a near key are compared with all keys,
-    which are broadcast (ValueError beyond MOST_BROADCAST): only the running best of each lookup is kept, no pair leaves a task.
+    Exact, in bands of growing distance: within() finds all keys in the band, and lookups that have one are answered. What is still open
+    has no key within half of its length (or that of the last band) and is compared with all keys, block by block; its edits are bounded by
+    nothing. Null and empty lookups have no row; no keys give no rows. `keys` has (key, ord).
     """
-    if keys.count() > MOST_BROADCAST:
-        raise ValueError("too many keys for the comparison with all of them")
-    asked = lookups.select(F.col(lookup).alias("lookup")).where("lookup IS NOT NULL AND lookup <> ''").distinct()
-    parts = close + 1
-    pieces = F.array(*[F.struct(F.lit(k).alias("part"), s.alias("start"), n.alias("size"), F.length("key").alias("whole")) for k, (s, n) in enumerate(_segments(F.col("key"), parts))])
-    index = keys.select("key", "ord", F.inline(pieces)).withColumn("piece", F.expr("substring(key, start, size)"))
-    shapes = index.select("whole", "part", "start", "size").distinct()  # one for each length of key
-    probes = (
-        asked.join(F.broadcast(shapes), F.abs(F.length("lookup") - F.col("whole")) <= close)
-        .withColumn("at", F.explode(F.sequence(F.greatest(F.col("start") - close, F.lit(1)), F.col("start") + close)))
-        .select("lookup", "whole", "part", F.expr("substring(lookup, at, size)").alias("piece"))
-        .distinct()
-    )
-    near = probes.join(F.broadcast(index.select("key", "ord", "whole", "part", "piece")), ["whole", "part", "piece"]).select("lookup", "key", "ord").distinct()
-    near = near.withColumn("distance", F.levenshtein("lookup", "key", close)).where("distance >= 0")
-    best = near.groupBy("lookup").agg(F.min(F.struct("distance", "ord", "key")).alias("b"))
-    far = asked.join(best.select("lookup"), "lookup", "left_anti").crossJoin(F.broadcast(keys.select("key", "ord")))
-    rest = far.groupBy("lookup").agg(F.min(F.struct(F.levenshtein("lookup", "key").alias("distance"), "ord", "key")).alias("b"))
-    return best.unionByName(rest).select("lookup", "b.key", "b.distance")
+    open_ = cut_lineage(lookups.select(F.col(lookup).alias("lookup")).where("lookup IS NOT NULL AND lookup <> ''").distinct())
+    keys = cut_lineage(keys.select("key", "ord"))
+    half = F.floor(F.length("lookup") / 2).cast("int")
+    found = []
+    for band in (*[F.lit(b) for b in bands], half):
+        near, _ = within(open_.withColumn("budget", F.least(band, half)), keys, "key")
+        near = near.withColumn("distance", F.levenshtein("lookup", "key")).where("distance <= budget")
+        best = cut_lineage(near.groupBy("lookup").agg(F.min(F.struct("distance", "ord", "key")).alias("b")))
+        found.append(best)
+        open_ = cut_lineage(open_.join(best.select("lookup"), "lookup", "left_anti"))
+    found.append(_all_keys(open_, keys))
+    return reduce(DataFrame.unionByName, found).select("lookup", "b.key", "b.distance")
 
 
 def python_round(value: Column, digits: int = 2) -> Column:
-    """As Python rounds: by the exact binary value, which its shortest decimal expansion with enough digits shows."""
-    exact = value.cast("decimal(38,20)")
-    return F.bround(exact, digits).cast("double")
+    """As Python rounds: by the exact binary value, half to even. The decimal halves are not binary numbers (but for quarters), so the one
+    they stand for is a little more or less: 0.925 is more, 0.955 less."""
+    return F.pandas_udf(lambda v: v.map(lambda x: round(x, digits), na_action="ignore"), "double")(value)
 
 
-def match_fuzzy(lookups: DataFrame, lookup: str, canonical: DataFrame, ord_of: DataFrame, cutoff: float | None = None) -> DataFrame:
+def match_fuzzy(lookups: DataFrame, lookup: str, canonical: DataFrame, cutoff: float | None = None, epithets: DataFrame | None = None) -> DataFrame:
     """(lookup, score, and the columns of the dictionary): the nearest canonical name of each lookup, compared as it is written
-    with the keys in lower case, rescored by indel ratio against the whole name in lower case. A nearest genus is no match."""
-    found = nearest_names(lookups, lookup, canonical.select("key").join(ord_of, "key"))
-    full = found.join(canonical, "key").where("taxon_rank <> 'genus'")
-    if cutoff:  # by their lengths alone some cannot reach the score
-        short, long = F.least(F.length("lookup"), F.length("canonical_name")), F.greatest(F.length("lookup"), F.length("canonical_name"))
-        full = full.where(2.0 * short / (short + long) >= cutoff)
-    scored = full.withColumn("score", indel_ratio(F.col("lookup"), F.lower("canonical_name")))
-    return scored.where(F.col("score") >= (cutoff or 1e-9)).withColumn("score", python_round(F.col("score")))
+    with the keys in lower case, of equally near ones the first in load order, rescored by indel ratio against the whole name in lower case.
+
+    A nearest genus is no match, nor is a nearest epithet of `epithets` (key) that is no canonical name: they stand behind the names
+    in order. With a cutoff only names that can reach it are looked for, and then whether another is nearer.
+    """
+    asked = lookups.select(F.col(lookup).alias("lookup")).where("lookup IS NOT NULL AND lookup <> ''").distinct()
+    keys = canonical.select("key", F.struct(F.lit(0).alias("kind"), F.col("prio").alias("prio"), F.col("ord").alias("ord")).alias("ord"))
+    if epithets is not None:
+        more = epithets.select("key").join(canonical.select("key"), "key", "left_anti")
+        keys = keys.unionByName(more.select("key", F.struct(F.lit(1).alias("kind"), F.lit(0).alias("prio"), F.xxhash64("key").alias("ord")).alias("ord")))
+    if not cutoff:
+        found = nearest_names(asked, "lookup", keys).select("lookup", "key")
+        scored = found.join(canonical, "key").where("taxon_rank <> 'genus'").withColumn("score", indel_ratio(F.col("lookup"), F.lower("canonical_name")))
+        scored = scored.where("score > 0")
+    else:
+        scored = _reaching(asked, keys, canonical, cutoff)
+    return scored.withColumn("score", python_round(F.col("score")))
+
+
+def _reaching(asked: DataFrame, keys: DataFrame, canonical: DataFrame, cutoff: float) -> DataFrame:
+    """The matches of match_fuzzy() with a score of `cutoff` or more.
+
+    A ratio of c leaves (1 - c) of the letters of both strings to deletions and insertions, and the longer has (2 - c) / c of
+    the shorter's letters at most: that is the budget of a lookup. An initial capital takes two of them.
+    """
+    names = cut_lineage(canonical.where("taxon_rank <> 'genus'").select("key", F.struct(F.lit(0).alias("kind"), F.col("prio").alias("prio"), F.col("ord").alias("ord")).alias("ord"), F.lower("canonical_name").alias("name")))
+    # a little more than the budget: rounding must not lose a pair
+    asked = cut_lineage(asked.withColumn("budget", F.floor(F.length("lookup") * F.lit(2 * (1 - cutoff) / cutoff) + 1e-6).cast("int")))
+    near, short = within(asked, names, "name", capital=2)
+    if short.take(1):  # so low a cutoff that any name may reach it
+        near = near.unionByName(short.crossJoin(names)) if short.count() * names.count() <= MOST_BROADCAST else near.unionByName(_blockwise(short, names))
+    letters = F.length("lookup") + F.length("name")
+    near = near.where((F.levenshtein("lookup", "name") <= F.lit(1 - cutoff + 1e-9) * letters) & (2.0 * F.least(F.length("lookup"), F.length("name")) >= F.lit(cutoff - 1e-9) * letters))
+    scored = near.withColumn("score", indel_ratio(F.col("lookup"), F.col("name"))).where(F.col("score") >= cutoff)
+    reaching = cut_lineage(scored.select("lookup", "key", "ord", "score", F.levenshtein("lookup", "key").alias("distance")))
+    best = cut_lineage(reaching.groupBy("lookup").agg(F.min(F.struct("distance", "ord", "key")).alias("b"), F.min_by("score", F.struct("distance", "ord", "key")).alias("score")))
+    # another key, nearer or as near and before it, takes its place
+    rivals, close = within(best.select("lookup", F.col("b.distance").alias("budget")), keys.select("key", "ord"), "key")
+    if close.take(1):
+        rivals = rivals.unionByName(_blockwise(close, keys.select("key", "ord")))
+    nearest = rivals.groupBy("lookup").agg(F.min(F.struct(F.levenshtein("lookup", "key").alias("distance"), "ord", "key")).alias("r"))
+    kept = best.join(nearest, "lookup", "left").where("r IS NULL OR r.key = b.key").select("lookup", F.col("b.key").alias("key"), "score")
+    return kept.join(sized(canonical), "key")
+
+
+def _blockwise(asked: DataFrame, keys: DataFrame) -> DataFrame:
+    """All pairs of rows, by blocks of keys that are spread over the tasks."""
+    blocks = max(1, -(-keys.count() // BLOCK))
+    marked = keys.withColumn("__block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+    return asked.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(marked, "__block").drop("__block")
 
 
 def best_options(matched: DataFrame, ids: list[str], strategy: str = "best_score") -> DataFrame:

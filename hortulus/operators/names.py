@@ -141,9 +141,9 @@ def _authorships(names: DataFrame, key: str) -> DataFrame:
 
 
 def first_wins(names: DataFrame, key: Column) -> DataFrame:
-    """A dictionary by key: the first row in order of priority, with all authorships."""
+    """A dictionary by key: the first row in order of priority, with all authorships and its place in that order (prio, ord)."""
     keyed = names.withColumn("key", key).where("key <> ''")
-    best = keyed.groupBy("key").agg(F.min_by(F.struct(*FIELDS, "taxon_rank", "source"), F.struct("prio", "ord")).alias("m"))
+    best = keyed.groupBy("key").agg(F.min_by(F.struct(*FIELDS, "taxon_rank", "source", "prio", "ord"), F.struct("prio", "ord")).alias("m"))
     return best.select("key", "m.*").join(_authorships(keyed, "key"), "key")
 
 

@@ -106,12 +106,12 @@ LEGEND = f"""symbols(sym, symbol, alphabetic, seen_p, starts_p, quoted_p, loose_
 noted AS (SELECT * FROM (SELECT doc, line_nr, {_TMP} AS tmp FROM ctx WHERE has_any) WHERE tmp <> ''),
 counted AS (SELECT doc, sym, symbol, alphabetic, count(*) AS n, min(line_nr) AS first_line FROM noted, symbols WHERE regexp_matches(tmp, seen_p) GROUP BY ALL),
 detected AS (SELECT doc, sym, symbol, n, first_line FROM (SELECT *, sum(n) OVER (PARTITION BY doc) AS total FROM counted) WHERE NOT alphabetic OR n / total > {RARE_SHARE}),
-near AS (SELECT doc, sym, symbol, line_nr, {_SINGLE} AS text FROM (SELECT * FROM ctx WHERE length(trim(raw)) > 0 AND ipen IS NULL AND regexp_matches(raw, '[a-zA-Z]')) JOIN detected USING (doc) JOIN symbols USING (sym, symbol)
+near AS (SELECT doc, sym, symbol, line_nr, {tx.sql_strip(_SINGLE)} AS text FROM (SELECT * FROM ctx WHERE length(trim(raw)) > 0 AND ipen IS NULL AND regexp_matches(raw, '[a-zA-Z]')) JOIN detected USING (doc) JOIN symbols USING (sym, symbol)
     WHERE regexp_matches(raw, starts_p) OR regexp_matches(raw, quoted_p)),
 prim AS (SELECT doc, sym, text AS a FROM near WHERE length(text) > 10 AND contains(text, ' ') QUALIFY row_number() OVER (PARTITION BY doc, sym ORDER BY {_CAPITALS.format(t='text')}, position(symbol IN text), line_nr) = 1),
 loose AS (SELECT doc, sym, raw FROM ctx JOIN detected USING (doc) JOIN symbols USING (sym, symbol) WHERE NOT has_any AND regexp_matches(raw, '\\p{{L}}') AND regexp_matches(raw, loose_p)
     QUALIFY row_number() OVER (PARTITION BY doc, sym ORDER BY {_CAPITALS.format(t='raw')}, ctx.line_nr) = 1),
-fallback AS (SELECT doc, sym, {_SINGLE} AS b FROM loose WHERE length({_SINGLE}) > 10 AND contains({_SINGLE}, ' ')),
+fallback AS (SELECT doc, sym, {tx.sql_strip('raw')} AS b FROM loose WHERE length({tx.sql_strip('raw')}) > 10 AND contains({tx.sql_strip('raw')}, ' ')),
 described AS (SELECT d.doc, d.sym, d.symbol, d.first_line, coalesce(a, b) AS descriptor FROM detected d LEFT JOIN prim USING (doc, sym) LEFT JOIN fallback USING (doc, sym) WHERE coalesce(a, b) IS NOT NULL),
 notes AS (SELECT doc, line_nr, string_agg(descriptor, '; ' ORDER BY first_line, sym) AS notes FROM noted JOIN described USING (doc) JOIN symbols USING (sym, symbol) WHERE regexp_matches(tmp, noted_p) GROUP BY doc, line_nr)"""
 

@@ -123,14 +123,13 @@ def add_fuzzy(lines: DataFrame, known: Dictionaries, settings: Fuzzy) -> DataFra
     looked = near_blocks(named, "has_name", "raw", settings.max_gap, settings.line_block_limit) if settings.near_blocks else named
     looked = looked.where(F.col("name").isNull() | (F.col("name.match.taxon_rank") == "genus"))
     candidates = cut_lineage(fuzzy_candidates(looked.select("doc", "line_nr", "raw"), ["doc", "line_nr"], "raw", settings))
-    ord_of = known.canonical.select("key", F.xxhash64("key").alias("ord"))
-    found = match_fuzzy(candidates, "option", known.canonical, ord_of, settings.threshold).where(F.col("score") >= settings.threshold)
-    fields = [c for c in known.canonical.columns if c != "key"]
+    found = match_fuzzy(candidates, "option", known.canonical, settings.threshold).where(F.col("score") >= settings.threshold)
     order = ("canonical_name", "genus", "epithet", "infraspecific_epithet", "authorship", "taxon_rank", "source", "authorships")
-    assert set(fields) == set(order)
-    # options that differ in case only share the match of the last in order
-    shared = found.groupBy(F.lower("lookup").alias("low")).agg(F.max_by(F.struct("score", F.struct(*order).alias("match")), "lookup").alias("m"))
-    matched = candidates.withColumn("low", F.lower("option")).join(shared, "low").select("doc", "line_nr", "option", "num_tokens", "i", "j", "index", "m.score", "m.match")
+    found = found.select("lookup", "score", F.struct(*order).alias("match"))
+    # options of a document that differ in case only share the match of the last in order
+    options = candidates.select("doc", F.col("option").alias("lookup"), F.lower("option").alias("low")).distinct().join(found, "lookup")
+    shared = options.groupBy("doc", "low").agg(F.max_by(F.struct("score", "match"), "lookup").alias("m"))
+    matched = candidates.withColumn("low", F.lower("option")).join(shared, ["doc", "low"]).select("doc", "line_nr", "option", "num_tokens", "i", "j", "index", "m.score", "m.match")
     best = best_options(matched, ["doc", "line_nr"], settings.strategy)
     name = F.struct(F.col("option").alias("text"), F.col("match"), F.col("score"), F.col("index"))
     taken = best.select("doc", "line_nr", name.alias("fuzzy"), F.split("option", " ").alias("bits"))

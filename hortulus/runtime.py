@@ -46,14 +46,15 @@ def workers_find_package(spark: SparkSession) -> None:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written once to the shared checkpoint folder, so that a lost executor costs a read and not a recomputation.
 
-    The folder is the one the cluster names in spark.checkpoint.dir; only where that is unset (single-machine
-    tests) a temporary one is made, on a cluster one beside the warehouse, which all machines share.
+    The folder is the one the cluster names in spark.checkpoint.dir. Where that is unset a single-machine session (tests) makes a
+    temporary one; a cluster has no folder that is known to be shared, so there it is an error.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder:
-            local = context.master.startswith("local") and "cluster" not in context.master
-            folder = tempfile.mkdtemp(prefix="hortulus-checkpoint-") if local else f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+            if not context.master.startswith("local") or "cluster" in context.master:
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+            folder = tempfile.mkdtemp(prefix="hortulus-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from hortulus.functions import text as tx
 from hortulus.operators import context, match, names, rows
 from hortulus.operators.lookup import lookup
 from hortulus.plans import extract as plan
@@ -196,3 +197,65 @@ def test_stream_equals_batch(spark, known, tmp_path):
     stream = extraction.extract_stream(extraction.stream_lines(spark, str(tmp_path / "in"), 1), known, lambda df, n: df.write.mode("overwrite").parquet(str(tmp_path / "out" / str(n))), str(tmp_path / "ck"))
     stream.awaitTermination(240)
     assert spark.read.parquet(*map(str, (tmp_path / "out").iterdir())).count() == 4
+
+
+def test_fuzzy_takes_the_first_in_load_order(spark, known):
+    rows = [(20 + i, f"Rosa alb{c}", "Rosa", f"alb{c}", None, None, "species", "WFO", 2) for i, c in enumerate("afdbce")]
+    made = plan.dictionaries(spark.createDataFrame(rows, NAMES))
+    asked = spark.createDataFrame([("Rosa alza",), ("Rosa albzzz",)], "s string")
+    assert {r.lookup: r.canonical_name for r in lookup(asked, "s", made, fuzzy=True).collect()} == {"Rosa alza": "Rosa alba", "Rosa albzzz": "Rosa alba"}
+    got = match.match_fuzzy(asked, "s", made.canonical, 0.7).collect()
+    assert {r.lookup: (r.canonical_name, r.score) for r in got} == {"Rosa alza": ("Rosa alba", 0.78), "Rosa albzzz": ("Rosa alba", 0.7)}
+
+
+def test_an_epithet_may_hide_a_name(spark, known):
+    made = plan.dictionaries(known)
+    asked = spark.createDataFrame([("concinnun",), ("adiantum concinnun",)], "s string")
+    assert {r.canonical_name for r in lookup(asked, "s", made, fuzzy=True, include_epithets=True).collect()} == {"Adiantum concinnum"}
+    assert {r.lookup for r in lookup(asked, "s", made, fuzzy=True, include_epithets=True).collect()} == {"adiantum concinnun"}
+
+
+@pytest.mark.parametrize("cutoff", [0.9, 0.75, 0.3])
+def test_cutoff_equals_brute_force(spark, small, cutoff):
+    from hortulus.functions.similarity import ratio
+
+    base = spark.read.parquet(f"{small}/reference_names.parquet").where("ref_id <= 150")
+    fields = ("canonical_name", "genus", "epithet", "infraspecific_epithet", "authorship", "taxon_rank")
+    canonical = names.canonical_dictionary(base.select(F.col("ref_id").alias("ord"), *fields, F.lit("WFO").alias("source"), F.lit(1).alias("prio")))
+    keys = [(r.key, r.ord, r.canonical_name.lower()) for r in canonical.collect()]
+    asked = sorted({r[0] for r in spark.read.parquet(f"{small}/list_entries.parquet").where("extracted_name <> ''").select(tx.fully_clean(F.col("extracted_name"))).distinct().limit(120).collect()} - {""})
+    want = {}
+    for a in asked:
+        _, _, name = min((edits(a, k), o, n) for k, o, n in keys)
+        if ratio(a, name) >= cutoff:
+            want[a] = (name, round(ratio(a, name), 2))
+    got = match.match_fuzzy(spark.createDataFrame([(a,) for a in asked], "s string"), "s", canonical, cutoff)
+    assert {r.lookup: (r.canonical_name.lower(), r.score) for r in got.collect()} == want
+
+
+def test_rounding_is_that_of_binary_numbers(spark):
+    values = [0.925, 0.975, 0.955, 0.295, 0.125, 2 * 17 / 37, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", match.python_round(F.col("v")).alias("r"))
+    assert all(x.r == (None if x.v is None else round(x.v, 2)) for x in df.collect())
+
+
+def test_long_documents_are_read_in_linear_time(spark):
+    import time
+
+    df = spark.range(200_000).select(F.lit(1).alias("doc"), F.col("id").cast("int").alias("line_nr"), F.when(F.col("id") == 199_999, "XX-0-TEBLI-1").alias("ipen"), (F.col("id") == 0).alias("has_name"), F.lit("x").alias("raw"))
+    began = time.time()
+    assert df.select(context.next_code().alias("c")).where("c <> ''").count() == 200_000
+    assert context.near_blocks(df, "has_name", "raw").count() == 1
+    assert context.split_codes(df, "raw", "raw").count() == 0
+    assert time.time() - began < 120
+
+
+def test_legend_descriptions_are_stripped(spark, known):
+    found = extracted(spark, known, ["Rosa alba L. ♃ x", "   ♃ =  Annual plant here", "Silene flos-jovis L. ☉ y", "see  below: ☉ for  annual plants "])
+    assert found[0]["extracted_notes"] == "♃ = Annual plant here"
+    assert found[1]["extracted_notes"] == "see  below: ☉ for  annual plants"
+
+
+def test_documents_may_have_names_as_idents(spark, known):
+    df = lines(spark, ["Rosa alba L.", "- rubra"]).withColumn("doc", F.lit("a.txt"))
+    assert [r.match_name for r in plan.extract(df, known).orderBy("line").collect()] == ["Rosa alba", "Rosa rubra"]
