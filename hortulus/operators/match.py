@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from hortulus.functions.similarity import indel_ratio
 from hortulus.functions.text import fully_clean, name_key, position_of, tokens_of, trim_outer
-from hortulus.runtime import cut_lineage
+from hortulus.runtime import cut_lineage, spread
 
 #: A dictionary of so many keys at most is broadcast; a larger one is joined by shuffle.
 MOST_BROADCAST = 2_000_000
+#: The same for pieces of names.
+MOST_PIECES = 1_000_000
 
 
 def sized(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
@@ -151,6 +153,8 @@ def fuzzy_candidates(lines: DataFrame, ids: list[str], raw: str, settings: Fuzzy
 LONGEST_PIECE = 6
 #: A block of so many keys is compared with a lookup at once where no piece tells them apart.
 BLOCK = 4096
+#: So many blocks at most (some 30 MB) are broadcast.
+BROADCAST_BLOCKS = 64
 
 
 def _lead(text: str) -> Column:
@@ -180,7 +184,7 @@ def within(asked: DataFrame, keys: DataFrame, text: str, capital: int = 1) -> tu
     places = used.withColumn("__place", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("__size") + 1))).withColumn("__piece", F.expr(f"substring({text}, __place, __size)"))
     sizes = fits.select("__size").distinct()  # LONGEST_PIECE rows at most
     index = places.join(F.broadcast(sizes), "__size", "left_semi").select(*keys.columns, "__place", "__piece")
-    met = probes.join(index, "__piece").where((F.abs(F.col("__at") - F.col("__place")) <= F.col("budget")) & (F.abs(F.length("lookup") - F.length(text)) <= F.col("budget")))
+    met = probes.join(sized(index, MOST_PIECES), "__piece").where((F.abs(F.col("__at") - F.col("__place")) <= F.col("budget")) & (F.abs(F.length("lookup") - F.length(text)) <= F.col("budget")))
     return met.select(*asked.columns, *keys.columns).distinct(), rest
 
 
@@ -189,28 +193,31 @@ def _all_keys(asked: DataFrame, keys: DataFrame) -> DataFrame:
     one, and only the nearest of a block is put out."""
     blocks = max(1, -(-keys.count() // BLOCK))
     packed = keys.withColumn("__block", F.pmod(F.xxhash64("key"), F.lit(blocks))).groupBy("__block").agg(F.collect_list(F.struct("key", "ord")).alias("__keys"))
-    each = asked.select("lookup", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__block")).join(packed, "__block")
+    each = asked.select("lookup", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__block"))
+    # few blocks are taken to the lookups; many are met by shuffle
+    each = each.join(F.broadcast(packed) if blocks <= BROADCAST_BLOCKS else packed, "__block")
     nearest = F.array_min(F.transform("__keys", lambda k: F.struct(F.levenshtein(F.col("lookup"), k["key"]).alias("distance"), k["ord"].alias("ord"), k["key"].alias("key"))))
     return each.select("lookup", nearest.alias("b")).groupBy("lookup").agg(F.min("b").alias("b"))
 
 
-def nearest_names(lookups: DataFrame, lookup: str, keys: DataFrame, bands: tuple[int, ...] = (3, 5)) -> DataFrame:
+def nearest_names(lookups: DataFrame, lookup: str, keys: DataFrame, bands: tuple[int, ...] = (3, 6), least_piece: int = 3) -> DataFrame:
     """(lookup, key, distance): for each distinct lookup the nearest key by edit distance, of equal ones that of the smallest `ord`.
 
-    Exact, in bands of growing distance: within() finds all keys in the band, and lookups that have one are answered. What is still open
-    has no key within half of its length (or that of the last band) and is compared with all keys, block by block; its edits are bounded by
-    nothing. Null and empty lookups have no row; no keys give no rows. `keys` has (key, ord).
+    Exact, in bands of growing distance: within() finds all keys in the band, and lookups that have one are answered. A lookup takes part
+    as far as its pieces have `least_piece` letters (shorter ones tell no names apart). What is still open has no key within about a third
+    of its length: no name is meant, and nothing but a comparison with all keys gives the nearest; it meets them block by block, and one
+    row leaves each block. Null and empty lookups have no row; no keys give no rows. `keys` has (key, ord).
     """
-    open_ = cut_lineage(lookups.select(F.col(lookup).alias("lookup")).where("lookup IS NOT NULL AND lookup <> ''").distinct())
+    open_ = cut_lineage(spread(lookups.select(F.col(lookup).alias("lookup")).where("lookup IS NOT NULL AND lookup <> ''").distinct(), "lookup"))
     keys = cut_lineage(keys.select("key", "ord"))
-    half = F.floor(F.length("lookup") / 2).cast("int")
+    most = F.floor((F.length("lookup") - _lead("lookup")) / least_piece).cast("int") - 1 + _lead("lookup")
     found = []
-    for band in (*[F.lit(b) for b in bands], half):
-        near, _ = within(open_.withColumn("budget", F.least(band, half)), keys, "key")
+    for band in bands:
+        near, _ = within(open_.withColumn("budget", F.least(F.lit(band), most)), keys, "key")
         near = near.withColumn("distance", F.levenshtein("lookup", "key")).where("distance <= budget")
         best = cut_lineage(near.groupBy("lookup").agg(F.min(F.struct("distance", "ord", "key")).alias("b")))
         found.append(best)
-        open_ = cut_lineage(open_.join(best.select("lookup"), "lookup", "left_anti"))
+        open_ = cut_lineage(spread(open_.join(best.select("lookup"), "lookup", "left_anti"), "lookup"))
     found.append(_all_keys(open_, keys))
     return reduce(DataFrame.unionByName, found).select("lookup", "b.key", "b.distance")
 
@@ -250,7 +257,7 @@ def _reaching(asked: DataFrame, keys: DataFrame, canonical: DataFrame, cutoff: f
     """
     names = cut_lineage(canonical.where("taxon_rank <> 'genus'").select("key", F.struct(F.lit(0).alias("kind"), F.col("prio").alias("prio"), F.col("ord").alias("ord")).alias("ord"), F.lower("canonical_name").alias("name")))
     # a little more than the budget: rounding must not lose a pair
-    asked = cut_lineage(asked.withColumn("budget", F.floor(F.length("lookup") * F.lit(2 * (1 - cutoff) / cutoff) + 1e-6).cast("int")))
+    asked = cut_lineage(spread(asked, "lookup").withColumn("budget", F.floor(F.length("lookup") * F.lit(2 * (1 - cutoff) / cutoff) + 1e-6).cast("int")))
     near, short = within(asked, names, "name", capital=2)
     if short.take(1):  # so low a cutoff that any name may reach it
         near = near.unionByName(short.crossJoin(names)) if short.count() * names.count() <= MOST_BROADCAST else near.unionByName(_blockwise(short, names))

@@ -43,6 +43,13 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([folder, *paths])
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """`df` over all tasks by some columns: for rows that are few in bytes but costly to work on, which adaptive execution would put
+    into one task."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written once to the shared checkpoint folder, so that a lost executor costs a read and not a recomputation.
 
