@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hortulus.llm.encoding import MULTIBYTE_PAGES, decode_bytes
 from hortulus.llm.words import Tables, one_relation
-from hortulus.runtime import cut_lineage
+from hortulus.runtime import cut_lineage, spread
 
 # What a letter or letter group is printed as when it is misread.
 MISREADINGS = {
@@ -166,15 +166,33 @@ def vocabulary(dictionary: DataFrame, name: str, trusted: str, least: int = 2) -
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("t")).where((F.col("n") >= least) | (F.col("t") == 1)).select("word", "n")
 
 
-def skip_grams(names: DataFrame, dims: int = 64) -> DataFrame:
-    """(word, vector, n) of (words): for each word how often its neighbours within two words fall on each of `dims` hashed
-    dimensions, and its count. A neighbour counts by its glyph skeleton, so a misread one is the same neighbour."""
-    at = F.posexplode("words").alias("i", "word")
-    each = names.select("words", at)
-    around = F.filter(F.transform(F.array(*[F.lit(k) for k in (-2, -1, 1, 2)]), lambda k: F.when(F.col("i") + k >= 0, F.get("words", F.col("i") + k))), lambda w: w.isNotNull())
-    hashed = F.transform(around, lambda w: F.pmod(F.xxhash64(glyph_skeleton(w)), F.lit(dims)).cast("int"))
-    counted = each.select("word", F.explode_outer(hashed).alias("dim")).groupBy("word", "dim").agg(F.count(F.lit(1)).alias("c"))
-    return counted.groupBy("word").agg(F.map_from_entries(F.collect_list(F.when(F.col("dim").isNotNull(), F.struct("dim", "c")))).alias("vector"), F.sum("c").alias("n"))
+def in_context(text: str) -> Column:
+    """Generates (word, before2, before, behind, behind2) of each name word of a text; the word of some rows is null."""
+    words, none = name_words(text), F.array(F.lit(None).cast("string"))
+    shifted = F.arrays_zip(words.alias("word"), F.concat(none, none, words).alias("before2"), F.concat(none, words).alias("before"), F.slice(words, F.lit(2), F.size(words) + 1).alias("behind"), F.slice(words, F.lit(3), F.size(words) + 1).alias("behind2"))
+    return F.inline(shifted)
+
+
+def contexts(tokens: DataFrame) -> DataFrame:
+    """(word, context, c) of (word, before2, before, behind, behind2): how often a word has each neighbour within two words. A neighbour
+    counts by its glyph skeleton, so a misread one is the same neighbour."""
+    around = F.array("before2", "before", "behind", "behind2")
+    each = tokens.where("word IS NOT NULL").select("word", F.explode(around).alias("w")).where("w IS NOT NULL")
+    # skeletons are made of distinct pairs, not of every occurrence
+    counted = each.groupBy("word", "w").agg(F.count(F.lit(1)).alias("c"))
+    return counted.groupBy("word", glyph_skeleton(F.col("w")).alias("context")).agg(F.sum("c").alias("c"))
+
+
+def skip_grams(names: DataFrame) -> DataFrame:
+    """(word, context, weight) of (text): the vector of each word of the names. Skip-gram training with one negative sample factorises the
+    matrix of pointwise mutual informations (Levy and Goldberg 2014); these are its rows themselves, positive ones only, at length 1."""
+    counted = contexts(names.select(in_context("text")))
+    total = counted.agg(F.sum("c").cast("double").alias("total"))
+    of_word, of_context = counted.groupBy("word").agg(F.sum("c").alias("n_word")), counted.groupBy("context").agg(F.sum("c").alias("n_context"))
+    information = F.log(F.col("c") * F.col("total") / (F.col("n_word") * F.col("n_context")))
+    weighted = counted.join(of_word, "word").join(of_context, "context").crossJoin(F.broadcast(total)).select("word", "context", information.alias("weight")).where("weight > 0")
+    length = weighted.groupBy("word").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+    return weighted.join(length, "word").select("word", "context", (F.col("weight") / F.col("length")).alias("weight"))
 
 
 def _bounded(df: DataFrame, most: int = MOST_WORDS) -> DataFrame:
@@ -182,33 +200,47 @@ def _bounded(df: DataFrame, most: int = MOST_WORDS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def misread_words(rows: DataFrame, names: DataFrame, words: DataFrame) -> DataFrame:
-    """(table_name, row_id, word, printed): the misread words of rows (table_name, row_id, words).
+def misread_words(rows: DataFrame, names: DataFrame, words: DataFrame, rare: float = 0.5) -> DataFrame:
+    """(table_name, row_id, file, line_nr, word, printed): the misread words of rows (table_name, row_id, file, line_nr, text).
 
-    A word that isn't in the vocabulary is linked by glyph skeleton to vocabulary words from which it comes by misreadings
-    alone. Of several, the one is taken whose skip-gram vector (learned from `names` (words)) is nearest, then the most frequent.
+    All distinct words are counted; those outside the vocabulary (word, n) are linked by glyph skeleton to vocabulary words from which
+    they come by misreadings alone. How near the contexts of a word are to the skip-gram vector of each printed one (learned from `names`
+    (text)) is a cosine; the printed word of the highest is taken, then the most frequent. The word is a misreading of it if there are fewer
+    of it than `rare` plus the cosine times the number of the printed one: a rare word beside a frequent one needs no context, one that is
+    as frequent must stand in the same contexts, else it is a word of its own.
     """
     known = cut_lineage(words)
+    counts = cut_lineage(rows.select(F.explode(name_words("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     keyed = known.select(F.col("word").alias("printed"), glyph_skeleton(F.col("word")).alias("skeleton")).groupBy("skeleton").agg(F.collect_set("printed").alias("printed"))
-    exploded = rows.select("table_name", "row_id", F.explode("words").alias("word"))
-    strange = exploded.join(_bounded(known.select("word")), "word", "left_anti")
-    linked = strange.withColumn("skeleton", glyph_skeleton(F.col("word"))).join(_bounded(keyed), "skeleton").select("table_name", "row_id", "word", F.explode("printed").alias("printed"))
-    linked = cut_lineage(linked.distinct())
-    pairs = linked.select("word", "printed").distinct()
+    strange = spread(counts.join(_bounded(known.select("word")), "word", "left_anti"), "word")
+    linked = strange.withColumn("skeleton", glyph_skeleton(F.col("word"))).join(_bounded(keyed), "skeleton").select("word", "n", F.explode("printed").alias("printed"))
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield frame[[is_misreading(p, w) for p, w in zip(frame["printed"], frame["word"])]]
 
-    real = pairs.mapInPandas(verify, "word string, printed string")
-    vectors = skip_grams(names)
-    left, right = vectors.select("word", F.col("vector").alias("a"), F.col("n").alias("n_word")), vectors.select(F.col("word").alias("printed"), F.col("vector").alias("b"), F.col("n").alias("n_printed"))
-    scored = real.join(left, "word", "left").join(right, "printed", "left")
-    dot = F.aggregate(F.map_keys("a"), F.lit(0.0), lambda s, k: s + F.element_at("a", k) * F.coalesce(F.element_at("b", k), F.lit(0)))
-    length = lambda m: F.sqrt(F.aggregate(F.map_values(m), F.lit(0.0), lambda s, v: s + v * v))
-    near = F.round(F.coalesce(dot / (length("a") * length("b")), F.lit(0.0)), 6)
-    best = scored.groupBy("word").agg(F.max_by("printed", F.struct(near, F.coalesce("n_printed", F.lit(0)), F.col("printed"))).alias("printed"))
-    return linked.select("table_name", "row_id", "word").distinct().join(best, "word").select("table_name", "row_id", "word", "printed")
+    pairs = cut_lineage(linked.mapInPandas(verify, "word string, n long, printed string"))
+    suspects = pairs.select("word").distinct()
+    found = rows.select("table_name", "row_id", "file", "line_nr", in_context("text")).where("word IS NOT NULL").join(_bounded(suspects), "word")
+    found = cut_lineage(found)
+    near = _nearness(pairs, contexts(found), skip_grams(names))
+    frequent = counts.join(pairs.select(F.col("printed").alias("word")).distinct(), "word", "left_semi").select(F.col("word").alias("printed"), F.col("n").alias("n_text"))
+    listed = known.select(F.col("word").alias("printed"), F.col("n").alias("n_listed"))
+    scored = pairs.join(near, ["word", "printed"], "left").join(frequent, "printed", "left").join(listed, "printed", "left")
+    n_printed = F.coalesce("n_text", F.lit(0)) + F.coalesce("n_listed", F.lit(0))
+    scored = scored.select("word", "n", "printed", F.coalesce("near", F.lit(0.0)).alias("near"), n_printed.alias("n_printed"))
+    best = scored.groupBy("word", "n").agg(F.max(F.struct("near", "n_printed", "printed")).alias("b"))
+    accepted = best.where(F.col("n") <= (F.lit(rare) + F.col("b.near")) * F.col("b.n_printed")).select("word", F.col("b.printed").alias("printed"))
+    return found.select("table_name", "row_id", "file", "line_nr", "word").distinct().join(_bounded(accepted), "word")
+
+
+def _nearness(pairs: DataFrame, seen: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(word, printed, near): the cosine of the contexts (word, context, c) of each word and the vector of each printed one."""
+    length = seen.groupBy("word").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("length"))
+    own = pairs.select("word", "printed").join(seen, "word")
+    other = vectors.join(pairs.select(F.col("printed").alias("word")).distinct(), "word", "left_semi").select(F.col("word").alias("printed"), "context", "weight")
+    dots = own.join(other, ["printed", "context"]).groupBy("word", "printed").agg(F.sum(F.col("c") * F.col("weight")).alias("dot"))
+    return dots.join(length, "word").select("word", "printed", F.round(F.col("dot") / F.col("length"), 6).alias("near"))
 
 
 # ---------------------------------------------------------------- furniture
@@ -347,16 +379,16 @@ class Noise:
         furniture = self.headers.select("file", "line_nr").unionByName(self.numbers.select("file", "line_nr"))
         self.breaks = broken_words(self.lines, furniture)
         words = cut_lineage(vocabulary(dictionary, name, trusted))
-        inside = self.lines.join(F.broadcast(self.headers.select("file", "line_nr").distinct()) if self.headers.count() < MOST_WORDS else self.headers.select("file", "line_nr").distinct(), ["file", "line_nr"], "left_anti")
-        rows = inside.select("table_name", "row_id", name_words("text").alias("words"))
+        rows = self.lines.select("table_name", "row_id", "file", "line_nr", "text")
         self.name_breaks = None
-        names = rows
+        names = dictionary.select(F.col(name).cast("string").alias("text"))
         if entries is not None:
             own = one_relation({entries: tables[entries]}).where("text IS NOT NULL").select("table_name", "row_id", "text")
-            names = own.select(name_words("text").alias("words"))
-            rows = rows.unionByName(own.select("table_name", "row_id", name_words("text").alias("words")))
+            names = names.unionByName(own.select("text"))
+            rows = rows.unionByName(own.select("table_name", "row_id", F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("line_nr"), "text"))
             self.name_breaks = broken_names(own, words)
-        self.misread = misread_words(rows, names.select("words"), words)
+        # a misread header is only a header
+        self.misread = misread_words(rows, names, words).join(self.headers.select("file", "line_nr").distinct(), ["file", "line_nr"], "left_anti").select("table_name", "row_id", "line_nr", "word", "printed")
 
 
 def find_noise(*args, **options) -> DataFrame:
@@ -387,10 +419,10 @@ def repair_pages(*args, **options) -> DataFrame:
     furniture = noise.headers.select("file", "line_nr").unionByName(noise.numbers.select("file", "line_nr")).distinct()
     once = noise.lines.groupBy("file", "line_nr").agg(F.max(F.struct("row_id", "table_name", "page", "text")).alias("l")).select("file", "line_nr", "l.*")
     kept = once.join(furniture, ["file", "line_nr"], "left_anti")
-    fixes = noise.misread.groupBy("table_name", "row_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "printed"))).alias("fixes"))
+    fixes = noise.misread.where("line_nr IS NOT NULL").groupBy("table_name", "row_id", "line_nr").agg(F.map_from_entries(F.collect_set(F.struct("word", "printed"))).alias("fixes"))
     begun = noise.breaks.groupBy("file", "line_nr").agg(F.max("rest").alias("rest"))
     ended = noise.breaks.groupBy("file", F.col("next_nr").alias("line_nr")).agg(F.max("rest").alias("taken"))
-    joined = kept.join(fixes, ["table_name", "row_id"], "left").join(begun, ["file", "line_nr"], "left").join(ended, ["file", "line_nr"], "left")
+    joined = kept.join(fixes, ["table_name", "row_id", "line_nr"], "left").join(begun, ["file", "line_nr"], "left").join(ended, ["file", "line_nr"], "left")
     text = F.when(F.col("taken").isNotNull(), F.regexp_replace("text", "^\\s*[\\p{L}\\p{M}]+\\s*", "")).otherwise(F.trim("text"))
     text = F.when(F.col("rest").isNotNull(), F.concat(F.regexp_replace(text, break_pattern(), ""), F.col("rest"))).otherwise(text)
     words = F.transform(F.split(text, " "), lambda w: F.coalesce(_recased(F.element_at("fixes", F.lower(w)), w), w))
