@@ -44,24 +44,17 @@ def source_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lines_of(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc, line_nr, raw, filename, garden_code, year): the lines of text files; of one delivered twice the later row."""
-    each = table(spark, folder, "document_lines").groupBy(F.col("file_id").alias("doc"), "line_nr").agg(F.max_by("raw_line", "line_id").alias("raw"))
-    files = table(spark, folder, "seedlist_files").select(F.col("file_id").alias("doc"), "filename")
-    named = each.join(files, "doc", "left")
+    """(doc, line_nr, raw, filename, garden_code, year): the lines of text files (of one delivered twice the later row) and of the contents of
+    json files, plain or XHTML."""
+    files = table(spark, folder, "seedlist_files")
+    of_text = table(spark, folder, "document_lines").groupBy(F.col("file_id").alias("doc"), "line_nr").agg(F.max_by("raw_line", "line_id").alias("raw"))
+    of_json = documents.content_lines(files.where("file_format = 'json' AND content IS NOT NULL"), "file_id", "content").select(F.col("file_id").alias("doc"), F.col("line_nr").cast("int").alias("line_nr"), "raw")
+    named = of_text.unionByName(of_json).join(files.select(F.col("file_id").alias("doc"), "filename"), "doc", "left")
     return named.select(
         "doc", "line_nr", F.coalesce("raw", F.lit("")).alias("raw"), "filename", tx.garden_of(F.col("filename")).alias("garden_code"), tx.year_of(F.col("filename")).alias("year")
     )
 
 
-def all_lines_of(spark: SparkSession, folder: str) -> DataFrame:
-    """lines_of() and the lines of the contents of json files, plain or XHTML."""
-    files = table(spark, folder, "seedlist_files").where("file_format = 'json' AND content IS NOT NULL")
-    each = documents.content_lines(files, "file_id", "content").join(files.select("file_id", "filename"), "file_id")
-    return lines_of(spark, folder).unionByName(
-        each.select(F.col("file_id").alias("doc"), F.col("line_nr").cast("int").alias("line_nr"), F.coalesce("raw", F.lit("")).alias("raw"), "filename", tx.garden_of(F.col("filename")).alias("garden_code"), tx.year_of(F.col("filename")).alias("year"))
-    )
-
-
 def _recognised(spark: SparkSession, folder: str) -> DataFrame:
     return plan.recognise(lines_of(spark, folder), plan.dictionaries(source_names(spark, folder)))
 
@@ -236,7 +229,7 @@ def fuzzy_longest_name(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fuzzy(spark: SparkSession, folder: str, strategy: str) -> DataFrame:
     known = plan.dictionaries(source_names(spark, folder))
-    found = cut_lineage(plan.recognise(all_lines_of(spark, folder), known))
+    found = cut_lineage(plan.recognise(lines_of(spark, folder), known))
     fuzzy = plan.add_fuzzy(found, known, match.Fuzzy(threshold=0.9, strategy=strategy))
     return fuzzy.where("name.score < 1").select("doc", "line_nr", F.col("name.text").alias("option"), F.col("name.match.canonical_name").alias("canonical_name"), F.col("name.score").alias("score"), "rest")
 
@@ -275,13 +268,13 @@ def meta_lines(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def epithet_resolution(spark: SparkSession, folder: str) -> DataFrame:
     known = plan.dictionaries(source_names(spark, folder))
-    found = cut_lineage(plan.recognise(all_lines_of(spark, folder), known))
+    found = cut_lineage(plan.recognise(lines_of(spark, folder), known))
     return context.resolve_epithets(found, known.canonical)
 
 
 @query
 def genera_scores(spark: SparkSession, folder: str) -> DataFrame:
-    found = plan.recognise(all_lines_of(spark, folder), plan.dictionaries(source_names(spark, folder)))
+    found = plan.recognise(lines_of(spark, folder), plan.dictionaries(source_names(spark, folder)))
     return found.where("name IS NOT NULL").select("doc", "line_nr", F.round(rows.genera_score(), 9).alias("score"))
 
 
@@ -316,7 +309,7 @@ def exact_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def extract_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return plan.extract(all_lines_of(spark, folder), source_names(spark, folder))
+    return plan.extract(lines_of(spark, folder), source_names(spark, folder))
 
 
 # ---------------------------------------------------------------- sources

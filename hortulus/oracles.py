@@ -36,11 +36,29 @@ FULL = tx.sql_strip("canonical_name || ' ' || coalesce(authorship, '')")
 
 _GARDEN = "nullif(regexp_extract(filename, '^[A-Za-z]+'), '')"
 _YEAR = f"CAST(nullif(regexp_extract(filename, {q(tx.YEAR)}, 1), '') AS INTEGER)"
-LINES = f"""raw_lines AS (SELECT file_id AS doc, line_nr, coalesce(arg_max(raw_line, line_id), '') AS raw FROM document_lines GROUP BY file_id, line_nr),
+_TEXT = "replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+_CLEAN = tx.sql_strip("replace(c, chr(9), '    ')")
+# XHTML of the regular form that the test tables have: nothing but paragraphs of plain text in divisions
+CONTENTS = f"""contents AS (SELECT file_id, content, regexp_matches(content, '^\\s*<') AS marked FROM seedlist_files WHERE file_format = 'json' AND content IS NOT NULL),
+divisions AS (SELECT file_id, generate_subscripts(string_split(content, '<div'), 1) AS page, unnest(string_split(content, '<div')) AS part FROM contents WHERE marked),
+paragraphs AS (SELECT file_id, page, generate_subscripts(regexp_extract_all(part, '(?s)<p>(.*?)</p>', 1), 1) AS k, unnest(regexp_extract_all(part, '(?s)<p>(.*?)</p>', 1)) AS t FROM divisions),
+marked_lines AS (SELECT file_id, page, k, generate_subscripts({tx.sql_split_lines(_TEXT)}, 1) AS j, unnest({tx.sql_split_lines(_TEXT)}) AS c FROM paragraphs),
+content_lines AS (SELECT file_id, CAST(row_number() OVER (PARTITION BY file_id ORDER BY page, k, j) AS INTEGER) AS line_nr, CAST(page AS INTEGER) AS page, {_CLEAN} AS raw FROM marked_lines
+    UNION ALL SELECT file_id, CAST(line_nr - 1 AS INTEGER), 0, {_CLEAN} FROM (SELECT file_id, generate_subscripts({tx.sql_split_lines('content')}, 1) AS line_nr, unnest({tx.sql_split_lines('content')}) AS c FROM contents WHERE NOT marked))"""
+LINES = f"""{CONTENTS},
+raw_lines AS (SELECT file_id AS doc, line_nr, coalesce(arg_max(raw_line, line_id), '') AS raw FROM document_lines GROUP BY file_id, line_nr UNION ALL SELECT file_id, line_nr, raw FROM content_lines),
 lines AS (SELECT l.doc, l.line_nr, l.raw, f.filename, {_GARDEN} AS garden_code, {_YEAR} AS year, {tx.sql_preprocess('l.raw')} AS pre
     FROM raw_lines l LEFT JOIN seedlist_files f ON l.doc = f.file_id)"""
 
 
+def ratios(pairs: str) -> str:
+    """CTEs lcs and ratio(a, b, score) for the distinct (a, b) of a CTE: the longest common subsequence letter by letter of b. Needs WITH RECURSIVE."""
+    step = "greatest(r[i + 1], coalesce(list_max(list_transform(list_filter(range(1, i + 1), lambda k: substring(a, k, 1) = substring(b, j + 1, 1)), lambda k: r[k] + 1)), 0))"
+    return f"""lcs(a, b, j, r) AS (SELECT a, b, 0, list_transform(range(0, length(a) + 1), lambda i: 0::BIGINT) FROM (SELECT DISTINCT a, b FROM {pairs})
+    UNION ALL SELECT a, b, j + 1, list_transform(range(0, length(a) + 1), lambda i: {step}) FROM lcs WHERE j < length(b)),
+ratio AS (SELECT a, b, CASE WHEN length(a) + length(b) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * r[length(a) + 1] / (length(a) + length(b)) END AS score FROM lcs WHERE j = length(b))"""
+
+
 def starts_lower(t: str) -> str:
     return f"(lower(left({t}, 1)) = left({t}, 1) AND upper(left({t}, 1)) <> left({t}, 1))"
 
@@ -81,7 +99,7 @@ cult2 AS (SELECT *, CASE WHEN cultivar IS NULL THEN rest1 ELSE replace(rest1, cu
 code AS (SELECT *, {tx.sql_ipen('rest2')} AS ipen FROM cult2),
 rec AS (SELECT l.doc, l.line_nr, l.raw, l.filename, l.garden_code, l.year, c.* EXCLUDE (doc, line_nr, rest1, rest2, body), CASE WHEN c.ipen IS NULL THEN c.rest2 ELSE replace(c.rest2, c.ipen, '') END AS rest
     FROM lines l LEFT JOIN code c USING (doc, line_nr))"""
-BASE = f"WITH {NAMES}, {AUTHORS}, {LINES}, {RECOGNISED}"
+BASE = f"WITH RECURSIVE {NAMES}, {AUTHORS}, {LINES}, {RECOGNISED}"
 
 _AT = "position(epithet_text IN rest)"
 _ENTRY = "(has_name OR has_epithet OR has_genus)"
@@ -149,6 +167,37 @@ def _longest(code: str, part: str) -> str:
     return f"coalesce(list_max(list_filter(range(1, length({code}) + 1), lambda k: k <= length({part}) AND contains({code}, {{}}))), 0)"
 
 
+_OPTIONS = f"""t AS (SELECT doc, line_nr, raw, list_filter(list_transform({tx.sql_tokens('raw')}, lambda x: {tx.sql_clean_name(tx.sql_drop_abbreviations('x'))}), lambda x: length(x) >= {_S.min_token_length}) AS t FROM looked),
+            i AS (SELECT *, unnest(range(len(t))) AS i FROM t), j AS (SELECT *, unnest(range(i + 1, len(t) + 1)) AS j FROM i),
+            c AS (SELECT doc, line_nr, raw, array_to_string(t[i + 1:j], ' ') AS option, j - i AS num_tokens, i, j FROM j
+                WHERE CASE WHEN len(t) >= {_S.min_tokens} THEN len(t) - i <= {_S.max_tokens} AND j - i >= {_S.min_tokens} ELSE j = i + 1 AND length(t[i + 1]) >= {_S.large_token_length} END)"""
+
+
+def fuzzy(first: str, threshold: float = 0.9) -> str:
+    """Lines with a fuzzy name; `first` orders the options of a line."""
+    base = f"{BASE}, looked AS (SELECT * FROM rec WHERE name_text IS NULL OR name.taxon_rank = 'genus')"
+    return f"""{base}, {_OPTIONS},
+uniq AS (SELECT DISTINCT option AS lookup FROM c),
+reach AS (SELECT lookup, key, prio, ord, lower(canonical_name) AS name, levenshtein(lookup, key) AS d FROM uniq, canonical WHERE taxon_rank <> 'genus'
+    AND abs(length(lookup) - length(canonical_name)) <= {1 - threshold:.3f} * (length(lookup) + length(canonical_name)) + 1e-6
+    AND levenshtein(lookup, lower(canonical_name)) <= {1 - threshold:.3f} * (length(lookup) + length(canonical_name)) + 1e-6),
+least AS (SELECT lookup, min(d) AS d FROM reach GROUP BY lookup),
+nearest AS (SELECT l.lookup, c.key, lower(c.canonical_name) AS name FROM least l JOIN canonical c ON abs(length(l.lookup) - length(c.key)) <= l.d
+    QUALIFY row_number() OVER (PARTITION BY l.lookup ORDER BY levenshtein(l.lookup, c.key), c.prio, c.ord) = 1),
+pairs AS (SELECT lookup AS a, name AS b FROM nearest),
+{ratios('pairs')},
+scored AS (SELECT n.lookup, c.canonical_name, CAST(printf('%.2f', r.score) AS DOUBLE) AS score FROM nearest n JOIN ratio r ON n.lookup = r.a AND n.name = r.b JOIN canonical c USING (key) WHERE r.score >= {threshold} AND c.taxon_rank <> 'genus'),
+shared AS (SELECT doc, lower(lookup) AS low, arg_max(canonical_name, lookup) AS canonical_name, arg_max(score, lookup) AS score FROM (SELECT DISTINCT doc, option AS lookup FROM c) JOIN scored USING (lookup) GROUP BY ALL),
+best AS (SELECT c.doc, c.line_nr, option, s.canonical_name, s.score FROM c JOIN shared s ON c.doc = s.doc AND lower(c.option) = s.low
+    QUALIFY row_number() OVER (PARTITION BY c.doc, c.line_nr ORDER BY {first}, num_tokens, i, j DESC) = 1)
+SELECT b.doc, b.line_nr, option, canonical_name, score, list_reduce(list_concat([coalesce(l.rest, '')], string_split(option, ' ')), lambda t, b: {tx.sql_strip("replace(t, b, '')")}) AS rest
+FROM best b JOIN looked l USING (doc, line_nr) WHERE score < 1"""
+
+
+_FIRST_WORD = "string_split(name_text, ' ')[1]"
+_CUT = "length(acc[1]) - position(reverse(g[1]) IN reverse(acc[1])) - length(g[1]) + 2"
+
+
 def oracle_sql() -> dict[str, str]:
     """By query."""
     lookups = "(SELECT entry_id, extracted_name FROM list_entries WHERE extracted_name IS NOT NULL)"
@@ -181,10 +230,7 @@ def oracle_sql() -> dict[str, str]:
         "leftmost_longest": f"""WITH {NAMES}, {AUTHORS}, {LINES}, {DICTIONARY}, {windows('t', 'lines', 'doc, line_nr', 'pre')}
             SELECT doc, line_nr, kind, i::INTEGER AS i, j::INTEGER AS j, coalesce(m.canonical_name, m.epithet) AS matched, m.source AS source FROM t_hit""",
         "recognised_lines": f"""{BASE} SELECT doc, line_nr, name_text, name.canonical_name AS canonical_name, genus.genus AS genus, epithet.epithet AS epithet, {_LISTED} AS synonyms, cultivar, ipen, rest FROM rec""",
-        "fuzzy_candidates": f"""WITH {LINES}, t AS (SELECT doc, line_nr, raw, list_filter(list_transform({tx.sql_tokens('raw')}, lambda x: {tx.sql_clean_name(tx.sql_drop_abbreviations('x'))}), lambda x: length(x) >= {_S.min_token_length}) AS t FROM lines),
-            i AS (SELECT *, unnest(range(len(t))) AS i FROM t), j AS (SELECT *, unnest(range(i + 1, len(t) + 1)) AS j FROM i),
-            c AS (SELECT doc, line_nr, raw, array_to_string(t[i + 1:j], ' ') AS option, j - i AS num_tokens, i, j FROM j
-                WHERE CASE WHEN len(t) >= {_S.min_tokens} THEN len(t) - i <= {_S.max_tokens} AND j - i >= {_S.min_tokens} ELSE j = i + 1 AND length(t[i + 1]) >= {_S.large_token_length} END)
+        "fuzzy_candidates": f"""WITH {LINES}, looked AS (SELECT * FROM lines), {_OPTIONS}
             SELECT doc, line_nr, option, num_tokens::INTEGER AS num_tokens, i::INTEGER AS i, j::INTEGER AS j, CAST(position(lower(option) IN lower(raw)) - 1 AS INTEGER) AS index FROM c""",
         "nearest_names": f"""WITH keys AS (SELECT {tx.sql_name_key('canonical_name')} AS key, min(ref_id) AS ord FROM reference_names GROUP BY 1),
             asked AS (SELECT DISTINCT {tx.sql_clean_name(tx.sql_drop_abbreviations('extracted_name'))} AS lookup FROM {lookups})
@@ -206,5 +252,17 @@ def oracle_sql() -> dict[str, str]:
         "legend_describe": f"{IN_CONTEXT}, {LEGEND} SELECT doc, sym, symbol, first_line, descriptor FROM described",
         "legend_notes": f"{IN_CONTEXT}, {LEGEND} SELECT doc, line_nr, notes FROM notes",
         "exact_rows": f"{IN_CONTEXT}, {LEGEND}, {NEXT} {ROWS}",
+        "content_lines": f"WITH {CONTENTS} SELECT file_id, line_nr, page, raw FROM content_lines",
+        "fuzzy_best_score": fuzzy("s.score DESC, length(option) DESC"),
+        "fuzzy_longest_name": fuzzy("length(option) DESC, s.score DESC"),
+        "genera_scores": f"""{BASE}, named AS (SELECT doc, line_nr, lower(coalesce(genus.genus, {_FIRST_WORD})) AS a, lower(name.genus) AS b FROM rec WHERE name_text IS NOT NULL), {ratios('named')}
+            SELECT doc, line_nr, round(score, 9) AS score FROM named JOIN ratio USING (a, b)""",
+        "split_on_genera": f"""WITH RECURSIVE {NAMES}, l AS (SELECT line_id, raw_line AS raw, {tx.sql_preprocess('raw_line')} AS pre FROM document_lines WHERE raw_line IS NOT NULL),
+            t AS (SELECT line_id, generate_subscripts({tx.sql_tokens('pre')}, 1) AS i, unnest({tx.sql_tokens('pre')}) AS token FROM l),
+            g AS (SELECT line_id, list([token] ORDER BY i DESC) AS found FROM t WHERE {tx.sql_name_key('token')} IN (SELECT key FROM genera) AND NOT {starts_lower('token')} GROUP BY line_id HAVING count(*) > 1),
+            s AS (SELECT line_id, list_reduce(list_concat([[pre]], found), lambda acc, g: list_concat(CASE WHEN contains(acc[1], g[1]) THEN [left(acc[1], {_CUT} - 1), substring(acc[1], {_CUT})]
+                ELSE [left(acc[1], length(acc[1]) - 1), right(acc[1], 1)] END, acc[2:])) AS parts FROM g JOIN l USING (line_id)),
+            w AS (SELECT line_id, list_concat([parts[1] || parts[2]], parts[3:]) AS parts FROM s)
+            SELECT line_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS part, unnest(parts) AS raw FROM w UNION ALL SELECT line_id, 0, raw FROM l WHERE line_id NOT IN (SELECT line_id FROM w)""",
         "skip_existing": "SELECT file_id, filename FROM seedlist_files WHERE file_id NOT IN (SELECT file_id FROM list_entries WHERE file_id IS NOT NULL)",
     }

@@ -103,7 +103,7 @@ def join_split_codes(lines: DataFrame, known: Dictionaries, options: Options) ->
     first = cut_lineage(recognise(lines, known, options))
     if not options.codes:
         return first
-    halves = cut_lineage(split_codes(first, "rest", "raw"))
+    halves = cut_lineage(split_codes(first.select("doc", "line_nr", "raw", "rest"), "rest", "raw"))
     if not halves.take(1):
         return first
     starts = halves.select("doc", "line_nr", F.col("ipen").alias("code"), "first_half")
@@ -176,9 +176,10 @@ def add_notes(lines: DataFrame) -> DataFrame:
     return lines.join(notes, ["doc", "line_nr"], "left")
 
 
-def extract(lines: DataFrame, names: DataFrame, options: Options = Options()) -> DataFrame:
-    """The output rows of `lines` (doc, line_nr, raw, filename, garden_code, year), with `names` as from with_priority()."""
-    known = dictionaries(names)
+def extract(lines: DataFrame, names: DataFrame | Dictionaries, options: Options = Options()) -> DataFrame:
+    """The output rows of `lines` (doc, line_nr, raw, filename, garden_code, year), with `names` as from with_priority(), or ready-made
+    dictionaries."""
+    known = names if isinstance(names, Dictionaries) else dictionaries(names)
     found = join_split_codes(lines, known, options)
     if options.fuzzy is not None:
         found = add_fuzzy(cut_lineage(found), known, options.fuzzy)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,23 +19,44 @@ def clean_line(text: Column) -> Column:
     return strip(F.replace(text, F.lit("\t"), F.lit("    ")))
 
 
+# Single-byte pages that are tried, the likelier first.
+GUESSED_PAGES = ("cp1252", "cp1250", "cp1251", "koi8-r", "cp866", "cp850", "mac_roman", "iso8859-7")
+
+
+def _plausibility(text: str) -> float:
+    """How much the characters beyond ASCII look like letters in words: small letters beside letters count, signs and capitals
+    within words count against, as do two scripts in one word."""
+    score, before = 0.0, " "
+    for c in f"{text} ":
+        if c > "\x7f":
+            if not c.isalpha():
+                score -= 2.0 if before.isalpha() or "\x80" <= c <= "\x9f" or "\u2500" <= c <= "\u25a0" else 0.5
+            elif c.islower():
+                score += 1.0
+            else:
+                score -= 1.5 if before.islower() else 0.2
+            if c.isalpha() and before.isalpha() and (c >= "\u0370") != (before >= "\u0370"):
+                score -= 2.0
+        elif c.isalpha() and before > "\u0370" and before.isalpha():
+            score -= 2.0
+        before = c
+    return score
+
+
 def guess_encoding(data: bytes) -> str:
-    """By mark, else UTF-8 if the bytes are valid as such, else the likelier of two single-byte pages by its letters."""
+    """By mark, else UTF-8 if the bytes are valid as such, else UTF-16 if every other byte is zero, else the single-byte page whose
+    letters look most like words; of equal ones the first of GUESSED_PAGES."""
     for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
         if data.startswith(mark):
             return name
+    for zeros, name in ((data[1::2], "utf-16-le"), (data[::2], "utf-16-be")):
+        if len(data) > 3 and zeros.count(0) > 0.6 * len(zeros):
+            return name
     try:
         data.decode("utf-8")
         return "utf-8"
     except UnicodeDecodeError:
-        pass
-
-    def letters(page: str) -> float:
-        upper = [c for c in data.decode(page, "replace") if c > "\x7f"]
-        return sum(c.isalpha() and c.islower() for c in upper) / max(1, len(upper))
-
-    cyrillic = sum(0xC0 <= b for b in data) > 0.4 * max(1, sum(not chr(b).isspace() for b in data))
-    return "cp1251" if cyrillic and letters("cp1251") >= letters("cp1252") * 0.9 else "cp1252"
+        return max(GUESSED_PAGES, key=lambda page: (_plausibility(data.decode(page, "replace")), -GUESSED_PAGES.index(page)))
 
 
 def decode(data: pd.Series) -> pd.Series:
@@ -89,11 +110,45 @@ def content_lines(files: DataFrame, ident: str, content: str) -> DataFrame:
     return marked.unionByName(plain.select(ident, "line_nr", F.lit(0).alias("page"), clean_line(F.col("t")).alias("raw")))
 
 
+def read_binary(spark: SparkSession, path: str, parser: Callable[[bytes], str], suffixes: tuple[str, ...] = ("pdf",)) -> DataFrame:
+    """(path, filename, text, error) of files that need a parser of their own (PDF and the like): `parser` gives the text or XHTML of a file's
+    bytes; a file that it fails on has a null text and the error."""
+
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts, errors = [], []
+            for data in frame["content"]:
+                try:
+                    texts.append(parser(bytes(data)))
+                    errors.append(None)
+                except Exception as error:  # one bad document must not stop the others
+                    texts.append(None)
+                    errors.append(f"{type(error).__name__}: {error}")
+            yield pd.DataFrame({"path": frame["path"], "text": texts, "error": errors})
+
+    files = with_suffix(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path), "path", suffixes)
+    return files.select("path", "content").mapInPandas(parse, "path string, text string, error string").withColumn("filename", F.element_at(F.split("path", "/"), -1))
+
+
+def with_suffix(files: DataFrame, path: str, suffixes: tuple[str, ...]) -> DataFrame:
+    """The files whose suffix, in any case, is one of `suffixes` (without dots)."""
+    return files.where(F.lower(F.regexp_extract(path, "\\.([^./]*)$", 1)).isin(*[s.lower() for s in suffixes]))
+
+
 def json_documents(documents: DataFrame) -> DataFrame:
     """(path, filename, content) of read JSON envelopes; a document without content gives no row."""
     return documents.where(F.lower("filename").endswith(".json")).select("path", "filename", F.get_json_object("text", "$.document.content").alias("content")).where("content IS NOT NULL")
 
 
+def document_states(documents: DataFrame) -> DataFrame:
+    """(path, state) of read documents: failed (no JSON, or nothing that could be decoded), empty or read. Failed ones give no lines and stop
+    nothing."""
+    is_json = F.lower("filename").endswith(".json")
+    broken = F.col("text").isNull() | (is_json & F.expr("try_parse_json(text)").isNull())
+    content = F.when(is_json, F.get_json_object("text", "$.document.content")).otherwise(F.col("text"))
+    return documents.select("path", F.when(broken, "failed").when(F.coalesce(F.length(content), F.lit(0)) == 0, "empty").otherwise("read").alias("state"))
+
+
 def document_lines(documents: DataFrame) -> DataFrame:
     """(path, filename, line_nr, page, raw) of all read documents."""
     plain = documents.where(F.lower("filename").endswith(".txt")).select("path", F.posexplode(split_lines(F.col("text"))).alias("line_nr", "raw"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import json
+import os
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +32,50 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(of(n, k), F.lit("")).alias(n) for n, k in df.dtypes])
 
 
-def output_path(base: Column, suffix: str = "tsv") -> Column:
-    """The path of a document with another suffix, subfolders kept."""
-    return F.concat(F.regexp_replace(base, "\\.[^./]*$", ""), F.lit(f".{suffix}"))
+def output_path(path: Column, folder: str | None = None, suffix: str = "tsv") -> Column:
+    """Where the table of a document goes: in `folder` under its own name with another suffix, or beside it. The document itself is never
+    overwritten (an error)."""
+    base = path if folder is None else F.concat(F.lit(f"{folder.rstrip('/')}/"), F.element_at(F.split(path, "/"), -1))
+    out = F.concat(F.regexp_replace(base, "\\.[^./]*$", ""), F.lit(f".{suffix}"))
+    return F.when(out == path, F.raise_error(F.concat(F.lit("would overwrite "), path))).otherwise(out)
+
+
+def write_documents(rows: DataFrame, path: str, folder: str | None = None, form: str = "tsv") -> DataFrame:
+    """(document, file, n_rows): one file for each document, named as it is, in `folder` (in situ without one); rows carry the document's
+    path. Takes a file system that all machines mount; write_rows() serves any other. A document without rows has no file; a file is whole or
+    not there, so a task that is run again does no harm. The result is lazy: files are written as it is collected or counted.
+    """
+    if form not in FORMATS:
+        raise ValueError(f"unknown format {form}")
+    text = as_text(rows.select(F.col(path).alias("document"), output_path(F.col(path), folder, form).alias("file"), *COLUMNS))
+    separator = FORMATS[form]
+
+    def write(frame: pd.DataFrame) -> pd.DataFrame:
+        file = frame["file"].iloc[0].removeprefix("file:")
+        ordered = frame.assign(at=frame["line"].astype(int)).sort_values("at", kind="stable")[list(COLUMNS)]
+        os.makedirs(os.path.dirname(file) or ".", exist_ok=True)
+        partial = f"{file}.{os.getpid()}.part"
+        with open(partial, "w", encoding="utf-8", newline="") as out:
+            writer = csv.writer(out, delimiter=separator)
+            writer.writerow(COLUMNS)
+            writer.writerows(ordered.itertuples(index=False))
+        os.replace(partial, file)
+        return pd.DataFrame({"document": [frame["document"].iloc[0]], "file": [file], "n_rows": [len(frame)]})
+
+    return text.groupBy("document").applyInPandas(write, "document string, file string, n_rows long")
+
+
+def show_rows(rows: DataFrame, most: int = 1000) -> None:
+    """Prints the rows of an interactive run, in order."""
+    for row in rows.orderBy("filename", "line").limit(most).toLocalIterator():
+        print(row.asDict())
+
+
+def write_envelopes(parsed: DataFrame, folder: str, parser: str) -> None:
+    """JSON envelopes (filename, timestamp, parser, document) of (filename, text) from read_binary()."""
+    parsed.where("text IS NOT NULL").select(
+        "filename", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.lit(parser).alias("parser"), F.struct(F.col("text").alias("content")).alias("document")
+    ).write.mode("overwrite").json(folder)
 
 
 def skip_existing(documents: DataFrame, ident: str, spark: SparkSession, folder: str) -> DataFrame:
@@ -72,6 +116,11 @@ def write_names(names: DataFrame, folder: str, per_source: bool = False) -> None
     (writer.option("partitionOverwriteMode", "dynamic") if per_source else writer).parquet(folder)
 
 
+def drop_source(spark: SparkSession, name: str) -> None:
+    """The loaded table of a source is dropped if there is one."""
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+
+
 def write_preprocessed(parts: DataFrame, ident: str, folder: str) -> None:
     """The split lines of each document in order, as text."""
     parts.repartition(ident).sortWithinPartitions(ident, "line_nr", "part").select(ident, F.col("raw").alias("value")).write.mode("overwrite").partitionBy(ident).text(folder)
@@ -89,6 +138,8 @@ class JobLog:
     processed: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
     failed: list[str] = field(default_factory=list)
+    output: list[str] = field(default_factory=list)
+    counters: dict[str, int] = field(default_factory=dict)
     started: str = field(default_factory=lambda: datetime.now().isoformat(timespec="seconds"))
     ended: str | None = None
 

@@ -29,19 +29,24 @@ def read_delimited(spark: SparkSession, path: str, separator: str | None = None)
     return spark.read.option("sep", separator).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
 def load_source(spark: SparkSession, name: str, path: str, spec: Source | None = None) -> DataFrame:
     spec = spec or SOURCES[name]
     return read_source(read_delimited(spark, path, spec.separator), name, spec)
 
 
 def build_names(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """The names of the sources at hand in load order, ranks normalised, cleaned; unknown and disabled sources are refused."""
+    """The names of the sources at hand in load order, ranks normalised, cleaned; unknown and disabled sources are refused, those whose file
+    is missing are left out."""
     wrong = [n for n in paths if n not in SOURCES or not SOURCES[n].enabled]
     if wrong:
         raise ValueError(f"unusable sources {wrong}")
-    parts = [load_source(spark, n, paths[n]) for n in SOURCES if n in paths]
+    parts = [load_source(spark, n, paths[n]) for n in SOURCES if n in paths and there(spark, paths[n])]
+    if not parts:
+        raise ValueError("no source is there")
     return clean_names(normalise_ranks(union_sources(parts))).withColumn("ord", F.monotonically_increasing_id())
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
