@@ -183,16 +183,16 @@ def contexts(tokens: DataFrame) -> DataFrame:
     return counted.groupBy("word", glyph_skeleton(F.col("w")).alias("context")).agg(F.sum("c").alias("c"))
 
 
-def skip_grams(names: DataFrame) -> DataFrame:
-    """(word, context, weight) of (text): the vector of each word of the names. Skip-gram training with one negative sample factorises the
+def skip_grams(names: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(word, context, weight) of (text): the vectors of the `wanted` words (word). Skip-gram training with one negative sample factorises the
     matrix of pointwise mutual informations (Levy and Goldberg 2014); these are its rows themselves, positive ones only, at length 1."""
-    counted = contexts(names.select(in_context("text")))
-    total = counted.agg(F.sum("c").cast("double").alias("total"))
+    counted = cut_lineage(contexts(names.select(in_context("text"))))
+    total = counted.agg(F.sum("c")).first()[0] or 0
     of_word, of_context = counted.groupBy("word").agg(F.sum("c").alias("n_word")), counted.groupBy("context").agg(F.sum("c").alias("n_context"))
-    information = F.log(F.col("c") * F.col("total") / (F.col("n_word") * F.col("n_context")))
-    weighted = counted.join(of_word, "word").join(of_context, "context").crossJoin(F.broadcast(total)).select("word", "context", information.alias("weight")).where("weight > 0")
-    length = weighted.groupBy("word").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
-    return weighted.join(length, "word").select("word", "context", (F.col("weight") / F.col("length")).alias("weight"))
+    information = F.log(F.col("c") * F.lit(float(total)) / (F.col("n_word") * F.col("n_context")))
+    weighted = counted.join(_bounded(wanted), "word", "left_semi").join(of_word, "word").join(of_context, "context").select("word", "context", information.alias("weight")).where("weight > 0")
+    square = F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("word"))
+    return weighted.select("word", "context", (F.col("weight") / F.sqrt(square)).alias("weight"))
 
 
 def _bounded(df: DataFrame, most: int = MOST_WORDS) -> DataFrame:
@@ -223,14 +223,15 @@ def misread_words(rows: DataFrame, names: DataFrame, words: DataFrame, rare: flo
     suspects = pairs.select("word").distinct()
     found = rows.select("table_name", "row_id", "file", "line_nr", in_context("text")).where("word IS NOT NULL").join(_bounded(suspects), "word")
     found = cut_lineage(found)
-    near = _nearness(pairs, contexts(found), skip_grams(names))
-    frequent = counts.join(pairs.select(F.col("printed").alias("word")).distinct(), "word", "left_semi").select(F.col("word").alias("printed"), F.col("n").alias("n_text"))
+    printed = cut_lineage(pairs.select(F.col("printed").alias("word")).distinct())
+    near = _nearness(pairs, cut_lineage(contexts(found)), skip_grams(names, printed))
+    frequent = counts.join(printed, "word", "left_semi").select(F.col("word").alias("printed"), F.col("n").alias("n_text"))
     listed = known.select(F.col("word").alias("printed"), F.col("n").alias("n_listed"))
     scored = pairs.join(near, ["word", "printed"], "left").join(frequent, "printed", "left").join(listed, "printed", "left")
     n_printed = F.coalesce("n_text", F.lit(0)) + F.coalesce("n_listed", F.lit(0))
     scored = scored.select("word", "n", "printed", F.coalesce("near", F.lit(0.0)).alias("near"), n_printed.alias("n_printed"))
     best = scored.groupBy("word", "n").agg(F.max(F.struct("near", "n_printed", "printed")).alias("b"))
-    accepted = best.where(F.col("n") <= (F.lit(rare) + F.col("b.near")) * F.col("b.n_printed")).select("word", F.col("b.printed").alias("printed"))
+    accepted = cut_lineage(best.where(F.col("n") <= (F.lit(rare) + F.col("b.near")) * F.col("b.n_printed")).select("word", F.col("b.printed").alias("printed")))
     return found.select("table_name", "row_id", "file", "line_nr", "word").distinct().join(_bounded(accepted), "word")
 
 
@@ -238,8 +239,7 @@ def _nearness(pairs: DataFrame, seen: DataFrame, vectors: DataFrame) -> DataFram
     """(word, printed, near): the cosine of the contexts (word, context, c) of each word and the vector of each printed one."""
     length = seen.groupBy("word").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("length"))
     own = pairs.select("word", "printed").join(seen, "word")
-    other = vectors.join(pairs.select(F.col("printed").alias("word")).distinct(), "word", "left_semi").select(F.col("word").alias("printed"), "context", "weight")
-    dots = own.join(other, ["printed", "context"]).groupBy("word", "printed").agg(F.sum(F.col("c") * F.col("weight")).alias("dot"))
+    dots = own.join(vectors.withColumnRenamed("word", "printed"), ["printed", "context"]).groupBy("word", "printed").agg(F.sum(F.col("c") * F.col("weight")).alias("dot"))
     return dots.join(length, "word").select("word", "printed", F.round(F.col("dot") / F.col("length"), 6).alias("near"))
 
 
