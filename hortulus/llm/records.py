@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hortulus.runtime import cut_lineage
+
 # Words that introduce an infraspecific epithet.
 RANK_WORDS = ("f", "fo", "forma", "var", "variet", "subsp", "ssp", "subvar", "convar", "cv", "nothosubsp", "nothovar")
 # Marks of an absent author, after plain_form().
@@ -47,6 +49,12 @@ def record_key(canonical: str, genus: str, epithet: str, infraspecific: str, ran
     return F.concat_ws("\u0002", name_key(canonical, genus, epithet, infraspecific, rank), *[plain_form(F.col(c)) for c in others])
 
 
+def key_hash(key: Column) -> Column:
+    """128 bits of a key: what is shuffled in its place. Two keys of a table of a billion billion of them fall on one with a probability under
+    one in five hundred."""
+    return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit("\u0003"), key).alias("b"))
+
+
 def names_an_author(value: Column) -> Column:
     """True where a string names an author; blanks, marks and words of absence and null don't."""
     plain = plain_form(value)
@@ -89,7 +97,7 @@ def collapse_copies(df: DataFrame, ident: str, key: Column, max_hot: int = 2000,
     Repeated rows count as copies. Rows with a null ident are counted but never represent a group unless all idents of
     it are null. An empty table gives none. Further columns are ignored, whatever their names.
     """
-    keyed = df.select(F.col(ident).alias("__ident"), key.alias("__key"))
+    keyed = cut_lineage(df.select(F.col(ident).alias("__ident"), key_hash(key).alias("__key")))  # normalised once
     hot, cold = group_minima(keyed, "__key", "__ident", hot_keys(keyed, "__key", max_hot, least), salts)
     return hot.unionByName(cold).select(F.col("__min").alias(ident), F.col("__copies").alias("copies"))
 
@@ -101,7 +109,7 @@ def copy_pairs(df: DataFrame, ident: str, key: Column, max_hot: int = 2000, leas
     `max_hot`); the rows of the others find theirs in one shuffle by key. Rows with a null ident are left out; an ident
     that stands twice with the same key is one row.
     """
-    keyed = df.where(F.col(ident).isNotNull()).select(F.col(ident).alias("__ident"), key.alias("__key"))
+    keyed = cut_lineage(df.where(F.col(ident).isNotNull()).select(F.col(ident).alias("__ident"), key_hash(key).alias("__key")))  # normalised once
     hot, _ = group_minima(keyed, "__key", "__ident", hot_keys(keyed, "__key", max_hot, least), salts)
     joined = keyed.join(F.broadcast(hot.select("__key", "__min")), "__key", "left")
     large = joined.where(F.col("__min").isNotNull()).select("__min", "__ident")
@@ -118,30 +126,20 @@ def copy_pairs(df: DataFrame, ident: str, key: Column, max_hot: int = 2000, leas
 
 def field_votes(rows: DataFrame, fields: dict[str, tuple[Column, Column]], trust: Column, recency: Column) -> DataFrame:
     """Unpivots `fields` ({name: (value, is it usable)}) of (`__group`, `__ident`, `__priority`, `__time`) to long rows and
-    sums the votes: one row for each (group, field, normalised value) with the sum of trust times recency and its first row."""
-    long = rows.select(
-        "__group",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(field).alias("__field"),
-                        F.when(usable, F.coalesce(value.cast("string"), F.lit(""))).alias("__value"),
-                        (trust * recency).alias("__vote"),
-                        # in order of precedence, the larger first: known priority, time, smaller ident
-                        F.struct(
-                            F.coalesce(-F.col("__priority"), F.lit(-(2**31))).alias("p"),
-                            F.coalesce(F.col("__time"), F.lit(-(2**62))).alias("t"),
-                            (-F.col("__ident")).alias("i"),
-                        ).alias("__rank"),
-                    )
-                    for field, (value, usable) in fields.items()
-                ]
-            )
-        ),
-    ).where(F.col("__value").isNotNull())
-    return long.groupBy("__group", "__field", plain_form(F.col("__value")).alias("__form")).agg(
-        F.round(F.sum("__vote"), 6).alias("__votes"), F.max(F.struct("__rank", "__value")).alias("__best")
+    sums the votes: one row for each (group, field, normalised value) with the sum of trust times recency, its first row, and the number and
+    smallest ident of its rows. Unusable values are one, null, without a first row."""
+    # in order of precedence, the larger first: known priority, time, smaller ident
+    rank = F.struct(F.coalesce(-F.col("__priority"), F.lit(-(2**31))).alias("p"), F.coalesce(F.col("__time"), F.lit(-(2**62))).alias("t"), (-F.col("__ident")).alias("i"))
+    entries = [
+        F.struct(F.lit(field).alias("__field"), F.when(usable, F.coalesce(value.cast("string"), F.lit(""))).alias("__value")) for field, (value, usable) in fields.items()
+    ]
+    long = rows.select("__group", "__ident", (trust * recency).alias("__vote"), rank.alias("__rank"), F.inline(F.array(*entries)))
+    form = F.when(F.col("__value").isNotNull(), F.xxhash64(plain_form(F.col("__value"))))
+    return long.groupBy("__group", "__field", form.alias("__form")).agg(
+        F.round(F.sum(F.when(F.col("__value").isNotNull(), F.col("__vote"))), 6).alias("__votes"),
+        F.max(F.when(F.col("__value").isNotNull(), F.struct("__rank", "__value"))).alias("__best"),
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__ident").alias("__least"),
     )
 
 
@@ -166,20 +164,21 @@ def best_representatives(
 
     Result: group_ord (smallest ident), copies, and for each field f: f (the value as that row writes it) and f_ord (its
     ident), null where no row of the group has a usable one. `sources` (source, priority) is a small fixed table and is
-    broadcast. Null idents never win; an empty table gives no rows.
+    broadcast. Null idents never win; an empty table gives no rows. Both shuffles are of partial aggregates: a group of any size sends
+    one row for each field, value and task.
     """
     if policy not in ("votes", "precedence"):
         raise ValueError(f"unknown policy {policy}")
     priorities = sources.groupBy(F.col("source").alias("__source")).agg(F.min("priority").alias("__priority"))
     rows = df.where(F.col(ident).isNotNull()).select(
-        group.alias("__group"),
+        key_hash(group).alias("__group"),
         F.col(ident).cast("long").alias("__ident"),
         F.col(source).alias("__source"),
         F.unix_micros(F.col(time).cast("timestamp")).alias("__time"),
         *[value.cast("string").alias(f"__v_{f}") for f, (value, _) in fields.items()],
         *[usable.alias(f"__u_{f}") for f, (_, usable) in fields.items()],
     )
-    latest = rows.agg(F.max("__time").alias("__latest"))
+    latest = df.where(F.col(ident).isNotNull()).agg(F.max(F.unix_micros(F.col(time).cast("timestamp"))).alias("__latest"))
     rows = rows.join(F.broadcast(priorities), "__source", "left").crossJoin(F.broadcast(latest))
     age = (F.col("__latest") - F.col("__time")) / F.lit(86_400_000_000.0)
     recency = F.coalesce(F.pow(F.lit(0.5), age / F.lit(half_life_days)), F.lit(0.5**10))
@@ -187,10 +186,11 @@ def best_representatives(
     columns = {f: (F.col(f"__v_{f}"), F.col(f"__u_{f}")) for f in fields}
     votes = field_votes(rows, columns, trust, recency)
     order = F.struct("__votes", "__best") if policy == "votes" else F.struct("__best")
-    winners = votes.groupBy("__group", "__field").agg(F.max_by("__best", order).alias("__best"))
-    pivoted = winners.groupBy("__group").agg(
-        *[F.max(F.when(F.col("__field") == f, F.col("__best"))).alias(f"__w_{f}") for f in fields]
+    one = next(iter(fields))
+    pivoted = votes.groupBy("__group").agg(
+        F.sum(F.when(F.col("__field") == one, F.col("__n"))).alias("copies"),
+        F.min("__least").alias("group_ord"),
+        *[F.max_by("__best", F.when((F.col("__field") == f) & F.col("__best").isNotNull(), order)).alias(f"__w_{f}") for f in fields],
     )
-    sizes = rows.groupBy("__group").agg(F.min("__ident").alias("group_ord"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     chosen = [c for f in fields for c in (F.col(f"__w_{f}.__value").alias(f), (-F.col(f"__w_{f}.__rank.i")).alias(f"{f}_ord"))]
-    return sizes.join(pivoted, "__group", "left").select("group_ord", "copies", *chosen)
+    return pivoted.where("copies > 1").select("group_ord", "copies", *chosen)
