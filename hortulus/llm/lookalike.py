@@ -18,7 +18,8 @@ GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονκιρυχ"
 GREEK_AS_LATIN = "ABEZHIKMNOPTYXovkipux"
 # Characters that are invisible beside the ordinary ones.
 INVISIBLE = "\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff\u00ad\u180e\u034f"
-HIDDEN = "\ue000"
+# What a space and a soft hyphen that are remnants of garbling are hidden behind; two code points that are no characters.
+HIDDEN = {"\u00a0": "\ufdd0", "\u00ad": "\ufdd1"}
 # What stands before a character of a multi-byte encoding read as a single-byte page; a space or soft hyphen there is its remnant.
 GARBLE_LEADS = "ÃĂГРÐÂÅ€Ђ\u0080\u0090"
 
@@ -91,13 +92,15 @@ def unify_words(words: DataFrame) -> DataFrame:
     scripts is garbled text and stays, as does a mark without a composed letter, and a space that is a remnant of garbling.
     """
     spark = words.sparkSession
-    # a remnant of garbling stays: it is hidden behind a private character
-    guarded = f"(?<=[{GARBLE_LEADS}])[\u00a0\u00ad]"
-    hidden = F.regexp_replace("word", guarded, HIDDEN)
-    remnant = F.regexp_extract("word", guarded, 0)
-    points = words.select("word", remnant.alias("remnant"), F.posexplode(F.split(hidden, "")).alias("pos", "ch"))
+    # a remnant of garbling stays: it is hidden, unless the word has such code points of its own
+    hidden = F.col("word")
+    for remnant, sign in HIDDEN.items():
+        hidden = F.regexp_replace(hidden, f"(?<=[{GARBLE_LEADS}]){remnant}", sign)
+    own = F.col("word").rlike(f"[{''.join(HIDDEN.values())}]")
+    hidden = F.when(own, F.col("word")).otherwise(hidden)
+    points = words.select("word", F.posexplode(F.split(hidden, "")).alias("pos", "ch"))
     unknown = F.array(F.struct(F.lit(0).alias("sub"), F.col("ch").alias("part"), F.lit(0).alias("class"), F.lit("-").alias("kind"), *[F.lit(None).cast("string").alias(c) for c in ("latin", "cyrillic", "greek")]))
-    known = points.join(F.broadcast(code_points(spark)), "ch", "left").select("word", "remnant", "pos", F.inline(F.coalesce("parts", unknown))).where("part <> ''")
+    known = points.join(F.broadcast(code_points(spark)), "ch", "left").select("word", "pos", F.inline(F.coalesce("parts", unknown))).where("part <> ''")
     order = Window.partitionBy("word").orderBy("pos", "sub")
     runs = known.withColumn("run", F.sum((F.col("kind") == "-").cast("int")).over(order)).withColumn("segment", F.sum((F.col("class") == 0).cast("int")).over(order))
     in_run = Window.partitionBy("word", "run")
@@ -124,7 +127,7 @@ def unify_words(words: DataFrame) -> DataFrame:
         .when((F.col("script") == "g") & F.col("greek").isNotNull(), F.col("greek"))
         .otherwise(F.col("part")),
     )
-    segments = chosen.groupBy("word", "remnant", "segment").agg(
+    segments = chosen.groupBy("word", "segment").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("class", "pos", "sub", "part"))), lambda x: x["part"]), "").alias("letters")
     )
     composed = F.broadcast(spark.createDataFrame(list(compositions().items()), "letters string, whole string"))
@@ -134,8 +137,9 @@ def unify_words(words: DataFrame) -> DataFrame:
         .join(pair, F.when(F.length("letters") > 2, F.substring("letters", 1, 2)) == F.col("__pair"), "left")
         .withColumn("letters", F.coalesce("whole", F.concat("first", F.expr("substring(letters, 3)")), "letters"))
     )
-    whole = built.groupBy("word", "remnant").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("segment", "letters"))), lambda x: x["letters"]), "").alias("unified"))
-    whole = whole.withColumn("unified", F.when(F.col("remnant") != "", F.replace("unified", F.lit(HIDDEN), F.col("remnant"))).otherwise(F.col("unified")))
+    whole = built.groupBy("word").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("segment", "letters"))), lambda x: x["letters"]), "").alias("unified"))
+    shown = F.translate("unified", "".join(HIDDEN.values()), "".join(HIDDEN))
+    whole = whole.withColumn("unified", F.when(own, F.col("unified")).otherwise(shown))
     # a word of nothing but invisible characters has no part left
     empty = words.join(whole.select("word"), "word", "left_anti").select("word", F.lit("").alias("unified"))
     return whole.where("unified <> word").select("word", "unified").unionByName(empty.where("word <> ''"))
