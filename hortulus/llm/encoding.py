@@ -136,9 +136,10 @@ class Decoder:
 
 def letter_bigrams(words: DataFrame) -> DataFrame:
     """(pair, n) of (word, n): pairs of neighbouring lower-case letters, the edge being a blank. At most alphabet squared rows."""
-    edged = F.concat(F.lit(EDGE), F.lower("word"), F.lit(EDGE))
-    pairs = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(edged, i, F.lit(2)))
-    return words.where(F.length("word") <= 64).select(F.explode(pairs).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
+    # split once, so that a word of any length takes linear time
+    letters = words.select(F.split(F.concat(F.lit(EDGE), F.lower("word"), F.lit(EDGE)), "").alias("c"), "n")
+    pairs = F.zip_with(F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), lambda a, b: F.concat(a, b))
+    return letters.select(F.explode(pairs).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def learn_letters(words: DataFrame, least: int = 3) -> tuple[dict[str, float], float, str]:
@@ -162,12 +163,15 @@ def learn_letters(words: DataFrame, least: int = 3) -> tuple[dict[str, float], f
     return bigrams, floor, "".join(sorted(letters | {c.upper() for c in letters if len(c.upper()) == 1}))
 
 
-def learn_ciphers(words: DataFrame, rounds: int = 8) -> DataFrame:
+def learn_ciphers(words: DataFrame, rounds: int = 8, most_words: int = 50_000) -> DataFrame:
     """(source, word, swap, reading) of (source, word, n): the words that expectation-maximisation finds garbled.
 
     The posterior of a word's readings is its prior share among the swaps of its source, times how likely each symbol
     stands for its letter there, times the bigrams of the reading. The two former are learned per source. A word whose best
     reading isn't the literal one is garbled; with swap "lost" it can't be restored.
+
+    The words of a source are learned from together; those of a source with more than `most_words` distinct ones are dealt by hash to as many
+    groups of up to so many, each learning by itself: enough for shares of swaps, and no task gets more, whatever a source holds.
     """
     spark = words.sparkSession
     by_word = words.groupBy("word").agg(F.sum("n").alias("n"))
@@ -219,7 +223,10 @@ def learn_ciphers(words: DataFrame, rounds: int = 8) -> DataFrame:
                 best.append((frame["source"].iloc[0], word, readings[i][1], readings[i][2]))
         return pd.DataFrame(best, columns=["source", "word", "swap", "reading"])
 
-    return words.join(proposed, "word").groupBy("source").applyInPandas(maximise, "source string, word string, swap string, reading string")
+    groups = words.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(most_words)).cast("int").alias("groups")).where("groups > 1")
+    salt = F.pmod(F.xxhash64("word"), F.coalesce("groups", F.lit(1)))
+    dealt = words.join(proposed, "word").join(groups, "source", "left").withColumn("group", salt)
+    return dealt.groupBy("source", "group").applyInPandas(maximise, "source string, word string, swap string, reading string")
 
 
 def count_words(texts: DataFrame) -> DataFrame:

@@ -36,19 +36,16 @@ def replace_words(texts: DataFrame, pattern: str, replacements: DataFrame, by: l
     """(table_name, row_id, text): the rows with a word of `replacements` (columns `by`, which hold "word", and `to`), with all
     such words replaced. Blanks stay as they are.
 
-    Only rows that match the pattern take part; their pieces are joined by word and put together again by position.
+    Only the matching words of a row are exploded and joined; what is to be replaced comes back to its text as a map, and the text is
+    rebuilt within its row.
     """
-    pieces = (
-        texts.where(F.col("text").rlike(pattern))
-        .distinct()
-        .withColumn("__key", F.xxhash64("text"))
-        .select("table_name", "row_id", "__key", "source", F.posexplode(F.regexp_extract_all("text", F.lit(f"[{BLANKS}]+|[^{BLANKS}]+"), F.lit(0))).alias("position", "word"))
-    )
-    read = pieces.join(replacements.select(*by, F.col(to).alias("__to")), by, "left")
-    whole = read.groupBy("table_name", "row_id", "__key").agg(
-        F.max(F.col("__to").isNotNull()).alias("found"), F.sort_array(F.collect_list(F.struct("position", F.coalesce("__to", "word").alias("word")))).alias("words")
-    )
-    return whole.where("found").select("table_name", "row_id", F.array_join(F.col("words.word"), "").alias("text"))
+    rows = texts.where(F.col("text").rlike(pattern)).withColumn("__key", F.xxhash64("text"))
+    held = rows.select("table_name", "row_id", "__key", "source", F.explode(F.array_distinct(matching_words("text", pattern))).alias("word")).distinct()
+    met = held.join(replacements.select(*by, F.col(to).alias("__to")), by)
+    fixes = met.groupBy("table_name", "row_id", "__key").agg(F.map_from_entries(F.collect_set(F.struct("word", "__to"))).alias("fixes"))
+    pieces = F.regexp_extract_all("text", F.lit(f"[{BLANKS}]+|[^{BLANKS}]+"), F.lit(0))
+    built = F.array_join(F.transform(pieces, lambda w: F.coalesce(F.element_at("fixes", w), w)), "")
+    return rows.join(fixes, ["table_name", "row_id", "__key"]).select("table_name", "row_id", built.alias("text")).distinct()
 
 
 def rows_with_words(texts: DataFrame, pattern: str, words: DataFrame, by: list[str]) -> DataFrame:
