@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hortulus.llm.lookalike import CYRILLIC, CYRILLIC_AS_LATIN, GREEK, GREEK_AS_LATIN, INVISIBLE
-from hortulus.runtime import cut_lineage
+from hortulus.runtime import cut_lineage, spread
 
 # Rank abbreviations and the form in which the list writes them.
 RANKS = {"f": "f", "fo": "f", "forma": "f", "form": "f", "var": "var", "variet": "var", "varietas": "var", "v": "var", "subsp": "subsp", "ssp": "subsp", "subspec": "subsp", "subspecies": "subsp"}
@@ -98,7 +98,7 @@ def alike_words(words: DataFrame, listed: DataFrame, least: float, tolerance: fl
     sizes = listed.agg(F.max(F.length("word"))).first()[0] or 0
     longest = max(sizes + 2, int(sizes * (1 + tolerance)) + 1)  # a longer word is within the edits of none
     asked = words.where(F.length("word") <= longest)
-    probes = _vectors(asked, idf, unseen).where(rare & (F.col("idf") < unseen)).select("word", "gram")
+    probes = _vectors(spread(asked, "word"), idf, unseen).where(rare & (F.col("idf") < unseen)).select("word", "gram")
     postings = _vectors(listed, idf, unseen).where(rare).select(F.col("word").alias("ref_word"), "gram")
     edits = F.greatest(F.lit(2), F.floor(F.length("ref_word") * F.lit(tolerance))).cast("int")
     met = probes.join(_sized(postings), "gram").where(F.abs(F.length("word") - F.length("ref_word")) <= edits).select("word", "ref_word").distinct()
@@ -130,7 +130,7 @@ def link_values(values: DataFrame, value: str, reference: DataFrame, threshold:
     words, rank = _parts(F.col("text"))
     forms = cut_lineage(distinct.select("value", plain_value(F.col("value")).alias("text")))
     by_text = forms.select("text").distinct().select("text", F.array_distinct(words).alias("words"), rank.alias("rank")).where(F.size("words") > 0)
-    by_text = cut_lineage(by_text)
+    by_text = cut_lineage(spread(by_text, "text"))
 
     # words: which of the list each one means
     used = entries.select(F.explode("words").alias("word"), "joined")
