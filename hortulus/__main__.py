@@ -60,7 +60,7 @@ def run_extract(spark: SparkSession, given: argparse.Namespace) -> None:
     if given.stdout:
         sinks.show_rows(rows)
     else:
-        log.output = [r.file for r in sinks.write_documents(rows, "doc", folder, given.format).orderBy("file").toLocalIterator()]
+        log.output = [r.file for r in sinks.write_documents(rows, "doc", folder, given.format).orderBy("file").collect()]  # one row a document
         log.counters = {k: int(v) for k, v in counters.get.items()}
     if given.log:
         log.finish(spark, given.log)
