@@ -196,3 +196,85 @@ def test_page_numbers_of_three_digits(spark):
     pages = {(r.file, r.page): r.text for r in ocr.repair_pages(*scans(spark, rows, content)).collect()}
     assert pages["l1", 4] == "Salix a b c d e" and pages["l1", 5] == "426"
     assert pages["c0", None] == "Rosa alba rubra" and pages["c1", None] == "Rosa 750 alba"
+
+
+# ---------------------------------------------------------------- cases of the second round
+
+
+def test_link_of_words_run_together(spark):
+    reference = spark.createDataFrame(REFERENCE, "ref_id long, canonical_name string")
+    values = {"Rosaalba": 1, "ROSAALBBA": 1, "Rosarubra var. nana": 3, "alba": -1, "rosaviola": -1}
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "entry_id long, v string")
+    assert {r.entry_id: r.ref_id for r in linking.link_rows(rows, "entry_id", "v", reference).collect()} == dict(enumerate(values.values()))
+
+
+def test_margin_leaves_ties_open(spark):
+    reference = spark.createDataFrame([(1, "Rosa alba"), (2, "Rosa albi"), (3, "Ruta alba")], "ref_id long, canonical_name string")
+    rows = spark.createDataFrame([(1, "R. alba"), (2, "Rosa albu"), (3, "Rosa alba")], "entry_id long, v string")
+    assert {r.entry_id: r.ref_id for r in linking.link_rows(rows, "entry_id", "v", reference).collect()} == {1: -1, 2: -1, 3: 1}
+
+
+@pytest.mark.parametrize("least", [0.1, 0.5])
+def test_gram_index_equals_brute_force(spark, small, least):
+    from math import log1p, sqrt
+
+    def words(path, column, most):
+        each = spark.read.parquet(f"{small}/{path}.parquet").select(F.explode(F.split(linking.plain_value(F.col(column)), " ")).alias("word"))
+        return sorted({r.word for r in each.distinct().collect()} - {""})[:most]
+
+    listed, asked = words("reference_names", "canonical_name", 300), words("list_entries", "extracted_name", 900)
+    asked = sorted(set(asked) - set(listed))
+    grams = lambda w: {f"^{w}$"[i : i + 3] for i in range(max(len(w), 1))}
+    df: dict = {}
+    for w in listed:
+        for g in grams(w):
+            df[g] = df.get(g, 0) + 1
+    weight = lambda g: log1p(len(listed) / df[g]) if g in df else log1p(2 * len(listed))
+    edits = lambda a, b: min_edits(a, b)
+    want = {}
+    for a in asked:
+        for b in listed:
+            if abs(len(a) - len(b)) > max(2, int(len(b) * 0.25)) or edits(a, b) > max(2, int(len(b) * 0.25)):
+                continue
+            dot = sum(weight(g) ** 2 for g in grams(a) & grams(b))
+            cosine = dot / sqrt(sum(weight(g) ** 2 for g in grams(a)) * sum(weight(g) ** 2 for g in grams(b)))
+            if round(cosine, 6) >= least:
+                want[a, b] = round(cosine, 4)
+    table = lambda ws: spark.createDataFrame([(w,) for w in ws], "word string")
+    got = {(r.word, r.ref_word): round(r.cosine, 4) for r in linking.alike_words(table(asked), table(listed), least, 0.25).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-4 for k in want) and want
+
+
+def min_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_each_remnant_of_garbling_stays_as_it_is(spark):
+    words = spark.createDataFrame([("Ã xÃ­ａ",), ("﷐ａ",), ("ａ",)], "word string")
+    assert {r.word: r.unified for r in lookalike.unify_words(words).collect()} == {"Ã xÃ­ａ": "Ã xÃ­a", "﷐ａ": "﷐a", "ａ": "a"}
+
+
+def test_words_of_a_large_source_are_dealt_to_groups(spark):
+    texts = [*CLEAN, *BROKEN.values()]
+    words = encoding.count_words(encoding.one_relation(of(lines(spark, texts)))).cache()
+    whole, dealt = ({(r.word, r.reading) for r in encoding.learn_ciphers(words, most_words=m).collect()} for m in (50_000, 8))
+    assert whole and len(whole & dealt) >= 0.7 * len(whole)
+
+
+def test_a_word_as_frequent_as_the_printed_one_needs_its_contexts(spark):
+    def found(texts):
+        rows = spark.createDataFrame([("t", i, "f", i, t) for i, t in enumerate(texts)], "table_name string, row_id long, file string, line_nr int, text string")
+        words = spark.createDataFrame([("rosa", 1), ("alba", 1), ("viola", 1), ("palustris", 1)], "word string, n long")
+        names = spark.createDataFrame([("Rosa alba",), ("Viola palustris",)], "text string")
+        return {r.word for r in ocr.misread_words(rows, names, words).collect()}
+
+    assert found(["Rosa alba"] * 4 + ["Rosa aiba"]) == {"aiba"}
+    assert found(["Rosa alba"] * 4 + ["near the town aiba with walls"] * 9) == set()  # a word of its own
+    assert found(["Rosa alba"] * 4 + ["Rosa aiba"] * 6) == {"aiba"}  # often misread, where the printed one stands
+    assert found(["", "x" * 100_000]) == set()
