@@ -166,27 +166,38 @@ def vocabulary(dictionary: DataFrame, name: str, trusted: str, least: int = 2) -
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("t")).where((F.col("n") >= least) | (F.col("t") == 1)).select("word", "n")
 
 
-def in_context(text: str) -> Column:
-    """Generates (word, before2, before, behind, behind2) of each name word of a text; the word of some rows is null."""
-    words, none = name_words(text), F.array(F.lit(None).cast("string"))
-    shifted = F.arrays_zip(words.alias("word"), F.concat(none, none, words).alias("before2"), F.concat(none, words).alias("before"), F.slice(words, F.lit(2), F.size(words) + 1).alias("behind"), F.slice(words, F.lit(3), F.size(words) + 1).alias("behind2"))
-    return F.inline(shifted)
+AROUND = ("before2", "before", "behind", "behind2")
+
+
+def with_neighbours(rows: DataFrame, suspects: DataFrame | None = None) -> DataFrame:
+    """The columns of rows (text) with (word, before2, before, behind, behind2) in place of the text: each of its name words with its
+    neighbours, or only those of `suspects` (word). The neighbours are looked up for the words that are put out only."""
+    others = [c for c in rows.columns if c != "text"]
+    each = rows.select(*others, name_words("text").alias("__words"))
+    each = each.select(*others, "__words", F.posexplode("__words").alias("__i", "word"))
+    if suspects is not None:
+        if suspects.count() > MOST_WORDS:  # no array goes through a shuffle: the words are put out with their neighbours, then joined
+            return with_neighbours(rows).join(suspects, "word").select(*others, "word", *AROUND)
+        each = each.join(F.broadcast(suspects), "word")
+    steps = zip(AROUND, (-2, -1, 1, 2))
+    return each.select(*others, "word", *[F.get("__words", F.col("__i") + k).alias(name) for name, k in steps])
 
 
 def contexts(tokens: DataFrame) -> DataFrame:
-    """(word, context, c) of (word, before2, before, behind, behind2): how often a word has each neighbour within two words. A neighbour
-    counts by its glyph skeleton, so a misread one is the same neighbour."""
-    around = F.array("before2", "before", "behind", "behind2")
-    each = tokens.where("word IS NOT NULL").select("word", F.explode(around).alias("w")).where("w IS NOT NULL")
+    """(word, context, c) of (word, before2, before, behind, behind2, n): how often a word has each neighbour within two words, each row
+    counting n times. A neighbour counts by its glyph skeleton, so a misread one is the same neighbour."""
+    each = tokens.select("word", "n", F.explode(F.array(*AROUND)).alias("w")).where("w IS NOT NULL")
     # skeletons are made of distinct pairs, not of every occurrence
-    counted = each.groupBy("word", "w").agg(F.count(F.lit(1)).alias("c"))
+    counted = each.groupBy("word", "w").agg(F.sum("n").alias("c"))
     return counted.groupBy("word", glyph_skeleton(F.col("w")).alias("context")).agg(F.sum("c").alias("c"))
 
 
 def skip_grams(names: DataFrame, wanted: DataFrame) -> DataFrame:
     """(word, context, weight) of (text): the vectors of the `wanted` words (word). Skip-gram training with one negative sample factorises the
     matrix of pointwise mutual informations (Levy and Goldberg 2014); these are its rows themselves, positive ones only, at length 1."""
-    counted = cut_lineage(contexts(names.select(in_context("text"))))
+    # the same words in the same order are one name, however it is written
+    distinct = names.groupBy(F.array_join(name_words("text"), " ").alias("text")).agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_lineage(contexts(with_neighbours(distinct)))
     total = counted.agg(F.sum("c")).first()[0] or 0
     of_word, of_context = counted.groupBy("word").agg(F.sum("c").alias("n_word")), counted.groupBy("context").agg(F.sum("c").alias("n_context"))
     information = F.log(F.col("c") * F.lit(float(total)) / (F.col("n_word") * F.col("n_context")))
@@ -221,10 +232,9 @@ def misread_words(rows: DataFrame, names: DataFrame, words: DataFrame, rare: flo
 
     pairs = cut_lineage(linked.mapInPandas(verify, "word string, n long, printed string"))
     suspects = pairs.select("word").distinct()
-    found = rows.select("table_name", "row_id", "file", "line_nr", in_context("text")).where("word IS NOT NULL").join(_bounded(suspects), "word")
-    found = cut_lineage(found)
+    found = cut_lineage(with_neighbours(rows.select("table_name", "row_id", "file", "line_nr", "text"), suspects))
     printed = cut_lineage(pairs.select(F.col("printed").alias("word")).distinct())
-    near = _nearness(pairs, cut_lineage(contexts(found)), skip_grams(names, printed))
+    near = _nearness(pairs, cut_lineage(contexts(found.withColumn("n", F.lit(1)))), skip_grams(names, printed))
     frequent = counts.join(printed, "word", "left_semi").select(F.col("word").alias("printed"), F.col("n").alias("n_text"))
     listed = known.select(F.col("word").alias("printed"), F.col("n").alias("n_listed"))
     scored = pairs.join(near, ["word", "printed"], "left").join(frequent, "printed", "left").join(listed, "printed", "left")
