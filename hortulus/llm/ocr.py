@@ -288,9 +288,13 @@ def page_numbers(lines: DataFrame, reach: int = 2) -> DataFrame:
 
 
 def header_key(text: Column) -> Column:
-    """The glyph skeleton of the first two words of three letters or more: the same for a misread header."""
-    words = F.filter(F.regexp_extract_all(text, F.lit("[\\p{L}0-9|!]*\\p{L}[\\p{L}0-9|!]*"), F.lit(0)), lambda w: F.length(w) >= 3)
-    return F.array_join(F.transform(F.slice(words, 1, 2), lambda w: glyph_skeleton(w)), " ")
+    """The glyph skeleton of the first two words of three letters or more (digits may stand for letters, but one is a letter): the same for a
+    misread header. '' without a word."""
+    letter = "[\\p{L}0-9|!]"
+    word = f"(?=[0-9|!]*\\p{{L}}){letter}{{3,}}"
+    pattern = f"(?s)^.*?({word})(?:[^\\p{{L}}0-9|!].*?({word}))?"
+    both = F.concat(F.regexp_extract(text, pattern, 1), F.lit(" "), F.regexp_extract(text, pattern, 2))
+    return glyph_skeleton(F.rtrim(both))
 
 
 def first_word_key(text: Column) -> Column:
