@@ -194,6 +194,34 @@ SELECT b.doc, b.line_nr, option, canonical_name, score, list_reduce(list_concat(
 FROM best b JOIN looked l USING (doc, line_nr) WHERE score < 1"""
 
 
+_TOKENS = tx.sql_tokens("t.name || ' ' || epithet")
+_PLACES = f"flatten(list_transform(range(1, len({_TOKENS}) + 1), lambda i: list_transform(range(len({_TOKENS}), i - 1, -1), lambda j: [i, j])))"
+_OF_PLACE = f"array_to_string({_TOKENS}[p[1]:p[2]], ' ')"
+_KEY = tx.sql_name_key(_OF_PLACE)
+_MET = f"list_filter({_PLACES}, lambda p: map_contains(d, {_KEY}) AND NOT (d[{_KEY}].is_genus AND {starts_lower(f'{_TOKENS}[p[1]]')}))[1]"
+_FOUND = f"list_transform([{_MET}], lambda p: struct_pack(state := t.name, orig := t.orig, key := {_KEY}, piece := {tx.sql_trim_outer(_OF_PLACE)}, canonical := d[{_KEY}].canonical_name))[1]"
+_WORDS = tx.sql_tokens("named")
+_EPITHETS_OF = f"""solo AS (SELECT doc, line_nr, row_number() OVER (PARTITION BY doc ORDER BY line_nr) AS k, len({tx.sql_repeat_symbols(tx.sql_preprocess('raw'))}) AS repeats, name_text, name.canonical_name AS canonical, name.taxon_rank AS name_rank, genus.genus AS genus, epithet.epithet AS epithet
+    FROM rec WHERE name_text IS NOT NULL OR genus_text IS NOT NULL OR epithet_text IS NOT NULL),
+held AS (SELECT DISTINCT doc, unnest(string_split({tx.sql_name_key('t')}, ' ')) AS word FROM (SELECT doc, unnest([canonical, genus, epithet]) AS t FROM solo) WHERE t IS NOT NULL),
+needed AS (SELECT key, canonical_name, taxon_rank = 'genus' AS is_genus, unnest(list_distinct(string_split(key, ' '))) AS word, len(list_distinct(string_split(key, ' '))) AS n FROM canonical),
+reachable AS (SELECT doc, key, any_value(canonical_name) AS canonical_name, any_value(is_genus) AS is_genus FROM held JOIN needed USING (word) GROUP BY doc, key HAVING count(*) = any_value(n)),
+maps AS (SELECT doc, map(list(key ORDER BY key), list(struct_pack(canonical_name := canonical_name, is_genus := is_genus) ORDER BY key)) AS d FROM reachable GROUP BY doc),
+fold(doc, k, line_nr, p_genus, p_other, p_species, txt, key) AS (
+    SELECT DISTINCT doc, 0::BIGINT, 0, NULL::VARCHAR, NULL::STRUCT(name VARCHAR, orig VARCHAR), NULL::STRUCT(name VARCHAR, orig VARCHAR), NULL::VARCHAR, NULL::VARCHAR FROM solo
+    UNION ALL SELECT doc, k, line_nr,
+        CASE WHEN genus IS NOT NULL AND repeats = 0 THEN genus WHEN named IS NOT NULL AND below AND repeats = 0 THEN {_WORDS}[1] ELSE p_genus END,
+        CASE WHEN genus IS NOT NULL AND repeats = 0 THEN CASE WHEN named IS NOT NULL AND below AND {_WORDS}[1] <> genus THEN struct_pack(name := {_WORDS}[1], orig := genus) END
+            WHEN named IS NOT NULL AND below AND repeats = 0 THEN NULL ELSE p_other END,
+        CASE WHEN named IS NOT NULL THEN struct_pack(name := array_to_string({_WORDS}[1:2], ' '), orig := named_text) WHEN genus IS NOT NULL AND repeats = 0 THEN NULL ELSE p_species END,
+        CASE WHEN hit IS NOT NULL THEN named_text END, hit.key
+    FROM (SELECT *, hit IS NOT NULL AND {tx.sql_name_key('named_text')} <> {tx.sql_name_key('named')} AS below FROM (SELECT *, coalesce(hit.canonical, canonical) AS named,
+        CASE WHEN hit IS NULL THEN name_text WHEN hit.orig IS NOT NULL THEN hit.orig || ' ' || epithet ELSE hit.piece END AS named_text
+        FROM (SELECT *, list_filter(list_transform(tries, lambda t: {_FOUND}), lambda h: h.key IS NOT NULL AND h.canonical <> h.state)[1] AS hit FROM (
+            SELECT l.*, m.d, f.p_genus, f.p_other, f.p_species, CASE WHEN epithet IS NOT NULL AND (name_text IS NULL OR name_rank = 'genus') AND m.d IS NOT NULL THEN list_filter([
+                CASE WHEN f.p_species IS NOT NULL AND repeats IN (0, 2) THEN f.p_species END, CASE WHEN f.p_genus IS NOT NULL AND repeats <= 1 THEN struct_pack(name := f.p_genus, orig := NULL::VARCHAR) END,
+                CASE WHEN f.p_other IS NOT NULL AND repeats <= 1 THEN f.p_other END], lambda t: t IS NOT NULL) ELSE [] END AS tries
+            FROM fold f JOIN solo l ON l.doc = f.doc AND l.k = f.k + 1 LEFT JOIN maps m ON m.doc = l.doc)))))"""
 _FIRST_WORD = "string_split(name_text, ' ')[1]"
 _CUT = "length(acc[1]) - position(reverse(g[1]) IN reverse(acc[1])) - length(g[1]) + 2"
 
@@ -255,6 +283,7 @@ def oracle_sql() -> dict[str, str]:
         "content_lines": f"WITH {CONTENTS} SELECT file_id, line_nr, page, raw FROM content_lines",
         "fuzzy_best_score": fuzzy("s.score DESC, length(option) DESC"),
         "fuzzy_longest_name": fuzzy("length(option) DESC, s.score DESC"),
+        "epithet_resolution": f"{BASE}, {_EPITHETS_OF} SELECT doc, line_nr, txt AS text, key FROM fold WHERE key IS NOT NULL",
         "genera_scores": f"""{BASE}, named AS (SELECT doc, line_nr, lower(coalesce(genus.genus, {_FIRST_WORD})) AS a, lower(name.genus) AS b FROM rec WHERE name_text IS NOT NULL), {ratios('named')}
             SELECT doc, line_nr, round(score, 9) AS score FROM named JOIN ratio USING (a, b)""",
         "split_on_genera": f"""WITH RECURSIVE {NAMES}, l AS (SELECT line_id, raw_line AS raw, {tx.sql_preprocess('raw_line')} AS pre FROM document_lines WHERE raw_line IS NOT NULL),
