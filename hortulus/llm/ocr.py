@@ -211,14 +211,14 @@ def _bounded(df: DataFrame, most: int = MOST_WORDS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def misread_words(rows: DataFrame, names: DataFrame, words: DataFrame, rare: float = 0.5) -> DataFrame:
+def misread_words(rows: DataFrame, names: DataFrame, words: DataFrame, rare: float = 0.5, similar: float = 0.1) -> DataFrame:
     """(table_name, row_id, file, line_nr, word, printed): the misread words of rows (table_name, row_id, file, line_nr, text).
 
     All distinct words are counted; those outside the vocabulary (word, n) are linked by glyph skeleton to vocabulary words from which
     they come by misreadings alone. How near the contexts of a word are to the skip-gram vector of each printed one (learned from `names`
-    (text)) is a cosine; the printed word of the highest is taken, then the most frequent. The word is a misreading of it if there are fewer
-    of it than `rare` plus the cosine times the number of the printed one: a rare word beside a frequent one needs no context, one that is
-    as frequent must stand in the same contexts, else it is a word of its own.
+    (text)) is a cosine; the printed word of the highest is taken, then the most frequent. The word is a misreading of it if the cosine is
+    `similar` at least, or if there are no more of it than `rare` times the number of the printed one: a rare word beside a frequent one
+    needs no context, one that is frequent itself must stand in the same contexts, else it is a word of its own.
     """
     known = cut_lineage(words)
     counts = cut_lineage(rows.select(F.explode(name_words("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
@@ -241,7 +241,7 @@ def misread_words(rows: DataFrame, names: DataFrame, words: DataFrame, rare: flo
     n_printed = F.coalesce("n_text", F.lit(0)) + F.coalesce("n_listed", F.lit(0))
     scored = scored.select("word", "n", "printed", F.coalesce("near", F.lit(0.0)).alias("near"), n_printed.alias("n_printed"))
     best = scored.groupBy("word", "n").agg(F.max(F.struct("near", "n_printed", "printed")).alias("b"))
-    accepted = cut_lineage(best.where(F.col("n") <= (F.lit(rare) + F.col("b.near")) * F.col("b.n_printed")).select("word", F.col("b.printed").alias("printed")))
+    accepted = cut_lineage(best.where((F.col("b.near") >= similar) | (F.col("n") <= F.lit(rare) * F.col("b.n_printed"))).select("word", F.col("b.printed").alias("printed")))
     return found.select("table_name", "row_id", "file", "line_nr", "word").distinct().join(_bounded(accepted), "word")
 
 
