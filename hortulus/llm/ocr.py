@@ -349,12 +349,13 @@ def broken_words(lines: DataFrame, skip: DataFrame, ahead: int = 4) -> DataFrame
     meet by (file, line_nr), so a file of any length is spread over all tasks. A hyphen in a code, after a number or before
     a word of AFTER_HANGING breaks nothing; in capitals a word goes on in capitals.
     """
-    half = F.regexp_extract("text", "([\\p{L}\\p{M}0-9]+)" + break_pattern(), 1)
-    before = F.regexp_extract("text", "(\\S*)" + break_pattern(), 1)
+    # the last word holds the sign: the many forms of it are not looked for in the rest of the line
+    half = F.regexp_extract("tail", "([\\p{L}\\p{M}0-9]+)" + break_pattern(), 1)
+    before = F.regexp_extract("tail", "(\\S*)" + break_pattern(), 1)
     last = sorted({u[-1] for u in broken_hyphens()} | set(HYPHENS))
     # the last character alone rules out most lines before any pattern is tried
-    ends = lines.where(F.substring(F.rtrim("text"), -1, 1).isin(last) & F.col("text").rlike("\\p{L}" + break_pattern()))
-    ends = ends.select("table_name", "row_id", "file", "line_nr", half.alias("half"), before.alias("token"))
+    ends = lines.where(F.substring(F.rtrim("text"), -1, 1).isin(last)).withColumn("tail", F.substring_index(F.rtrim("text"), " ", -1))
+    ends = ends.where(F.col("tail").rlike("\\p{L}" + break_pattern())).select("table_name", "row_id", "file", "line_nr", half.alias("half"), before.alias("token"))
     ends = ends.where(~F.col("token").rlike("^[A-Z]{2}[-.]\\S*$") | ~F.col("token").rlike("[-.][0-9O]"))
     start = F.regexp_extract("text", "^\\s*([\\p{L}\\p{M}]+)", 1)
     heads = lines.where(F.length(F.trim("text")) > 0).select("file", F.col("line_nr").alias("next_nr"), start.alias("rest"))
