@@ -35,8 +35,11 @@ def _plausibility(text: str) -> float:
                 score += 1.0
             else:
                 score -= 1.5 if before.islower() else 0.2
-            if c.isalpha() and before.isalpha() and (c >= "\u0370") != (before >= "\u0370"):
-                score -= 2.0
+            if c.isalpha() and before.isalpha():
+                if (c >= "\u0370") != (before >= "\u0370"):
+                    score -= 2.0
+                elif "\x7f" < before < "\u0370":  # accented letters seldom stand side by side
+                    score -= 1.5
         elif c.isalpha() and before > "\u0370" and before.isalpha():
             score -= 2.0
         before = c
