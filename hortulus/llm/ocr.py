@@ -373,7 +373,9 @@ def broken_names(names: DataFrame, words: DataFrame) -> DataFrame:
     """(table_name, row_id) of (table_name, row_id, text): names with a break left in: a break sign or hyphen with a blank within a
     word; a hyphen alone only if the word without it is in the vocabulary (else it is a compound)."""
     signs = f"(?:[{_escaped('¬=')}]|{'|'.join(_escaped(u) for u in broken_hyphens())})"
-    sure = F.col("text").rlike(f"\\p{{L}}{signs}\\s*\\p{{L}}") | F.col("text").rlike(f"\\p{{L}}[{_escaped(HYPHENS)}]\\s+\\p{{Ll}}")
+    # each form of the sign has a character beyond ASCII, so that the many forms are tried on few names
+    odd = F.col("text").rlike("=|[^\\x00-\\x7F]")
+    sure = (odd & F.col("text").rlike(f"\\p{{L}}{signs}\\s*\\p{{L}}")) | F.col("text").rlike(f"\\p{{L}}[{_escaped(HYPHENS)}]\\s+\\p{{Ll}}")
     certain = names.where(sure).select("table_name", "row_id")
     compounds = names.where(~sure & F.col("text").rlike("\\p{L}[-‐]\\p{L}")).select(
         "table_name", "row_id", F.explode(F.transform(F.regexp_extract_all("text", F.lit("[A-Za-z]+[-‐][A-Za-z]+"), F.lit(0)), lambda w: F.lower(F.regexp_replace(w, "[-‐]", "")))).alias("word")
