@@ -68,7 +68,7 @@ def break_pattern() -> str:
 def page_lines(tables: Tables, lines: str, files: str, file_of_line: str = "file_id", page: str = "page", line_nr: str = "line_nr") -> DataFrame:
     """(table_name, row_id, file, scope, paged, page, line_nr, text): the rows of a table of lines, and the lines of a table of whole
     files, plain or XHTML (a p per line). Page is null in the latter; paged says whether the file shows its pages. Scope is the
-    source (garden), or the file if it has none. Null texts are ''."""
+    source (garden), or the file if it has none. Null texts are ''. The files are parsed once: their lines are read several times."""
     df, ident, text, source = tables[lines]
     of_lines = df.select(
         F.lit(lines).alias("table_name"),
@@ -92,7 +92,7 @@ def page_lines(tables: Tables, lines: str, files: str, file_of_line: str = "file
         F.lit(None).cast("int").alias("page"),
         F.posexplode(each).alias("line_nr", "text"),
     )
-    return of_lines.unionByName(of_files)
+    return of_lines.unionByName(cut_lineage(of_files))
 
 
 def _scope(source: Column, kind: str, file: Column) -> Column:
@@ -173,12 +173,15 @@ def with_neighbours(rows: DataFrame, suspects: DataFrame | None = None) -> DataF
     """The columns of rows (text) with (word, before2, before, behind, behind2) in place of the text: each of its name words with its
     neighbours, or only those of `suspects` (word). The neighbours are looked up for the words that are put out only."""
     others = [c for c in rows.columns if c != "text"]
-    each = rows.select(*others, name_words("text").alias("__words"))
-    each = each.select(*others, "__words", F.posexplode("__words").alias("__i", "word"))
     if suspects is not None:
         if suspects.count() > MOST_WORDS:  # no array goes through a shuffle: the words are put out with their neighbours, then joined
             return with_neighbours(rows).join(suspects, "word").select(*others, "word", *AROUND)
-        each = each.join(F.broadcast(suspects), "word")
+        # the text goes along, not its words: an array copied for every word costs more than taking apart the few texts that are met
+        each = rows.select(*others, "text", F.posexplode(name_words("text")).alias("__i", "word"))
+        each = each.join(F.broadcast(suspects), "word").select(*others, "__i", "word", name_words("text").alias("__words"))
+    else:
+        each = rows.select(*others, name_words("text").alias("__words"))
+        each = each.select(*others, "__words", F.posexplode("__words").alias("__i", "word"))
     steps = zip(AROUND, (-2, -1, 1, 2))
     return each.select(*others, "word", *[F.get("__words", F.col("__i") + k).alias(name) for name, k in steps])
 
@@ -331,7 +334,7 @@ def running_headers(lines: DataFrame, divisions: DataFrame) -> DataFrame:
     hits = hits.join(_bounded(of_scope), ["scope", "key"], "left").join(_bounded(of_all), "key", "left").where("n IS NOT NULL OR n_all IS NOT NULL")
     hits = cut_lineage(hits.select("table_name", "row_id", "file", "scope", "paged", "page", "line_nr", "text", "key", "n", "n_all"))
     passes = lambda rule, n, total: reduce(Column.__or__, [(n >= a) & (n >= F.lit(b) * total) for a, b in rule])
-    by_scope = hits.groupBy("scope", "key").agg(F.max("n").alias("n"), F.max("n_all").alias("n_all"), F.sum(F.col("paged").cast("int")).alias("total"))
+    by_scope = cut_lineage(hits.groupBy("scope", "key").agg(F.max("n").alias("n"), F.max("n_all").alias("n_all"), F.sum(F.col("paged").cast("int")).alias("total")))
     everywhere = by_scope.groupBy("key").agg(F.max("n_all").alias("n_all"), F.sum("total").alias("total"))
     in_scope = by_scope.where(passes(OF_SCOPE, F.col("n"), F.col("total"))).select("scope", "key", F.lit(True).alias("here"))
     in_all = everywhere.where(passes(OF_ALL, F.col("n_all"), F.col("total"))).select("key", F.lit(True).alias("anywhere"))
@@ -373,7 +376,8 @@ def broken_names(names: DataFrame, words: DataFrame) -> DataFrame:
     """(table_name, row_id) of (table_name, row_id, text): names with a break left in: a break sign or hyphen with a blank within a
     word; a hyphen alone only if the word without it is in the vocabulary (else it is a compound)."""
     signs = f"(?:[{_escaped('¬=')}]|{'|'.join(_escaped(u) for u in broken_hyphens())})"
-    # each form of the sign has a character beyond ASCII, so that the many forms are tried on few names
+    # every sign is a hyphen, = or has a character beyond ASCII; each broken form has one, so that the many forms are tried on few names
+    names = names.where(F.col("text").rlike("[-=]|[^\\x00-\\x7F]"))
     odd = F.col("text").rlike("=|[^\\x00-\\x7F]")
     sure = (odd & F.col("text").rlike(f"\\p{{L}}{signs}\\s*\\p{{L}}")) | F.col("text").rlike(f"\\p{{L}}[{_escaped(HYPHENS)}]\\s+\\p{{Ll}}")
     certain = names.where(sure).select("table_name", "row_id")

@@ -278,3 +278,29 @@ def test_a_word_as_frequent_as_the_printed_one_needs_its_contexts(spark):
     assert found(["Rosa alba"] * 4 + ["near the town aiba with walls"] * 9) == set()  # a word of its own
     assert found(["Rosa alba"] * 4 + ["Rosa aiba"] * 6) == {"aiba"}  # often misread, where the printed one stands
     assert found(["", "x" * 100_000]) == set()
+
+
+def test_lines_of_files_are_parsed_once(spark):
+    tables = scans(spark, [(1, 0, "Index")], ["<html><body><div><p>a &amp; b</p><p>c</p></div></body></html>"])[0]
+    got = ocr.page_lines(tables, "document_lines", "seedlist_files")
+    assert "regexp_extract_all" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.text for r in got.where("table_name = 'seedlist_files'").orderBy("line_nr").collect()] == ["a & b", "c"]
+
+
+def test_neighbours_of_suspects_carry_no_array(spark):
+    rows = spark.createDataFrame([(1, "Rosa alba var. rubra f. plena"), (2, "alba"), (3, ""), (4, None)], "row_id long, text string")
+    suspects = spark.createDataFrame([("alba",), ("plena",)], "word string")
+    got = ocr.with_neighbours(rows, suspects)
+    exploded = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate" in line]
+    assert len(exploded) == 1 and "__words" not in exploded[0]
+    assert sorted(map(str, got.collect())) == sorted(map(str, ocr.with_neighbours(rows).join(suspects, "word").select(*got.columns).collect()))
+    assert {(r.row_id, r.word, r.before, r.behind) for r in got.collect()} == {(1, "alba", "rosa", "rubra"), (1, "plena", "rubra", None), (2, "alba", None, None)}
+
+
+def test_every_form_of_the_break_sign_in_a_name(spark):
+    signs = [*ocr.HYPHENS, *ocr.broken_hyphens()]
+    texts = [f"Viola palu{sign} stris" for sign in signs] + ["Viola palu-stris", "Viola palu‐stris", "Viola palu¬stris", "Viola palu=stris"]
+    plain = ["Viola palustris", "Rosa alba-nigra", "Rosa × alba", "Viola palu -stris", "", None]
+    names = spark.createDataFrame([("t", i, t) for i, t in enumerate(texts + plain)], "table_name string, row_id long, text string")
+    words = spark.createDataFrame([("palustris", 1)], "word string, n long")
+    assert {r.row_id for r in ocr.broken_names(names, words).collect()} == set(range(len(texts)))
