@@ -26,3 +26,17 @@ def test_sieved_windows_keep_all_matches(spark):
     every = match.windows(lines, ["n"], "text", 3).join(known, "key").groupBy("n").agg(F.min_by(F.struct("i", "j", "match"), F.struct("i", -F.col("j"))).alias("h"))
     assert got == {(r.n, r.h.i, r.h.j, r.h.match) for r in every.collect()}
     assert {(n, m) for n, _, _, m in got} == {(0, "silene flos jovis"), (1, "flos jovis"), (2, "rosa"), (4, "rosa alba"), (5, "rosa alba")}
+
+
+def test_documents_get_names_without_authorships(spark, monkeypatch):
+    from hortulus.operators import context
+    from hortulus.plans import extract as plan
+
+    given = []
+    whole = context.document_dictionary
+    monkeypatch.setattr(context, "document_dictionary", lambda lines, canonical: given.append(canonical.columns) or whole(lines, canonical))
+    names = "ord long, canonical_name string, genus string, epithet string, infraspecific_epithet string, authorship string, taxon_rank string, source string, prio int"
+    known = plan.dictionaries(spark.createDataFrame([(1, "Rosa alba", "Rosa", "alba", None, "L.", "species", "WFO", 1)], names))
+    lines = spark.createDataFrame([(1, 0, "Rosa alba")], "doc long, line_nr int, raw string")
+    context.resolve_epithets(plan.recognise(lines, known), known.canonical)
+    assert given == [["key", "canonical_name", "taxon_rank"]]
